@@ -67,6 +67,9 @@ class Lake:
             if not t.isTemporary
         }
 
-    def drop(self, layer: str, table: str) -> None:
-        """Forget a table; its files are replaced by the next write."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.database(layer)}.{table}")
+    def clear(self) -> None:
+        """Forget every table of every layer; a run rebuilds all and replaces their files."""
+        for layer in LAYERS:
+            for table in self.spark.catalog.listTables(self.database(layer)):
+                if not table.isTemporary:
+                    self.spark.sql(f"DROP TABLE IF EXISTS {self.database(layer)}.{table.name}")
