@@ -269,7 +269,7 @@ def store_proposals(tables: Tables) -> DataFrame:
 def stock_against_sales(sales: DataFrame, inventory: DataFrame) -> DataFrame:
     """Does stock move with sales: day-to-day correlation, and days sold without a drop."""
     pair = ["store_id", "sku_num"]
-    in_order = Window.partitionBy(*pair).orderBy("snapshot_date")
+    in_order = Window.partitionBy(*pair).orderBy("snapshot_date", "stock_qty")
     followed = (
         inventory.select(*pair, "snapshot_date", "stock_qty")
         .withColumn("before", F.lag("stock_qty").over(in_order))

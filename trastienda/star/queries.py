@@ -12,9 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trastienda.functions.keys import expected_handle, key_number, slug
 from trastienda.functions.literals import known_values
-from trastienda.plans import core, growth, margin, rotation, stockouts
-from trastienda.star.roles import EVENT_RUN_DAYS, Star
+from trastienda.operators.reconcile import totals_by_dimension, unreconciled
+from trastienda.plans import core, evidence, growth, margin, reports, rotation, staging
+from trastienda.quality import checks
+from trastienda.quality.gate import evaluate, results_frame
+from trastienda.quality.privacy import personal_values
+from trastienda.sources import erp, totals
+from trastienda.sources.files import file_manifest
+from trastienda.sources.settle import settle
+from trastienda.star.roles import STAR_FORMATS, Star
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 RATIO_DIGITS = 6
@@ -184,21 +192,14 @@ def rotation_overlap(star: Star) -> DataFrame:
 # --- stock-outs ------------------------------------------------------------------------------
 
 
-def _runs(star: Star) -> DataFrame:
-    w = star.event_window
-    return stockouts.stockout_runs(
-        star.event_grid, star.event_products, w["quarter_start"], w["quarter_end"], w["data_end"], EVENT_RUN_DAYS
-    )
-
-
 @query
 def stockout_runs(star: Star) -> DataFrame:
-    return _runs(star)
+    return star.stockout_runs
 
 
 @query
 def stockout_stores(star: Star) -> DataFrame:
-    return stockouts.stores_with_stockouts(_runs(star), star.event_stores, EVENT_RUN_DAYS)
+    return star.stockout_stores
 
 
 # --- margin ----------------------------------------------------------------------------------
@@ -230,3 +231,259 @@ def negative_products(star: Star) -> DataFrame:
 @query
 def negative_by_store(star: Star) -> DataFrame:
     return margin.negative_margin_by_store(_by_store(star), star.dim_store)
+
+
+# --- sources and typing ------------------------------------------------------------------------
+
+
+@query
+def pos_typing(star: Star) -> DataFrame:
+    """Text rows to typed rows; what cannot be read is NULL."""
+    return staging.pos_sales(star.raw_pos, STAR_FORMATS)
+
+
+@query
+def order_typing(star: Star) -> DataFrame:
+    return staging.ecommerce_orders(star.raw_orders, STAR_FORMATS)
+
+
+@query
+def key_extract(star: Star) -> DataFrame:
+    """Numbers out of the names of customers and suppliers."""
+    customers = star.table("customer").select(
+        F.col("c_name").alias("name"), key_number(F.col("c_name"), r"^Customer#(\d+)$", "bigint").alias("number")
+    )
+    suppliers = star.table("supplier").select(
+        F.col("s_name").alias("name"), key_number(F.col("s_name"), r"^Customer#(\d+)$", "bigint").alias("number")
+    )
+    return customers.unionByName(suppliers)
+
+
+@query
+def slug_keys(star: Star) -> DataFrame:
+    """The handle each part must have; `lpad` cuts a longer number, as the key format does."""
+    return star.products.select(
+        "sku_num", slug(F.col("product_name")).alias("name_slug"), expected_handle(F.col("name_slug"), F.col("sku_num")).alias("handle")
+    )
+
+
+@query
+def erp_snapshots(star: Star) -> DataFrame:
+    """Snapshots unnested from JSON with their mixed stock value typed by its JSON type."""
+    return staging.inventory_snapshots(erp.snapshots(star.documents))
+
+
+@query
+def erp_cost_history(star: Star) -> DataFrame:
+    """Two-level unnesting of products and their costs, as intervals."""
+    return staging.cost_history(erp.cost_history(star.documents))
+
+
+@query
+def erp_catalogue(star: Star) -> DataFrame:
+    """Products, stores and mappings of the export, one row each."""
+    products = staging.products(erp.products(star.documents), STAR_FORMATS)
+    stores = staging.stores(erp.stores(star.documents))
+    mappings = staging.sku_mappings(erp.sku_mappings(star.documents), STAR_FORMATS)
+    return (
+        products.select(F.lit("product").alias("block"), F.col("sku_erp").alias("key"), F.col("sku_num").alias("number"), F.col("name_slug").alias("detail"))
+        .unionByName(stores.select(F.lit("store").alias("block"), F.col("store_id").alias("key"), F.lit(None).cast("bigint").alias("number"), F.col("region_erp").alias("detail")))
+        .unionByName(mappings.select(F.lit("mapping").alias("block"), F.col("sku_pos").alias("key"), F.col("sku_erp_num").alias("number"), F.col("handle").alias("detail")))
+    )
+
+
+@query
+def variant_types(star: Star) -> DataFrame:
+    """JSON types and values inside the event properties."""
+    value = F.try_variant_get(F.parse_json("props"), "$.k", "variant")
+    return star.table("events").select("event_type", erp.json_type(value).alias("json_type"), value.cast("bigint").alias("k")).groupBy(
+        "event_type", "json_type"
+    ).agg(F.count("*").alias("n"), F.sum("k").alias("k_sum"))
+
+
+@query
+def control_totals(star: Star) -> DataFrame:
+    """Totals of text lines, orders and JSON documents on their own path, with unreadable rows."""
+    return (
+        totals.pos_totals(star.pos_lines)
+        .unionByName(totals.order_totals(star.raw_orders))
+        .unionByName(totals.erp_totals(star.documents))
+    )
+
+
+@query
+def file_manifest_rows(star: Star) -> DataFrame:
+    """Name, hash and size of each table file."""
+    names = ("lineitem", "orders", "part", "supplier", "customer", "events", "documents")
+    return file_manifest(star.spark, {n: f"{star.folder.rstrip('/')}/{n}.parquet" for n in names})
+
+
+# --- quality -----------------------------------------------------------------------------------
+
+
+@query
+def dq_staging(star: Star) -> DataFrame:
+    return checks.staging_measures(star.staged, STAR_FORMATS)
+
+
+@query
+def dq_core(star: Star) -> DataFrame:
+    return checks.core_measures(star.built)
+
+
+@query
+def dq_marts(star: Star) -> DataFrame:
+    return checks.marts_measures(star.built)
+
+
+@query
+def dup_keys_struct(star: Star) -> DataFrame:
+    """Rows beyond the first of their key, for single and composite keys."""
+    parts = [
+        checks.surplus_rows(star.pos, "pos_sale_id", ["sale_id"], null_is_key=False),
+        checks.surplus_rows(star.orders, "order_id", ["order_id"], null_is_key=False),
+        checks.surplus_rows(star.mappings, "mapping_sku_erp_handle", ["sku_erp", "handle"], null_is_key=True),
+        checks.surplus_rows(star.inventory, "snapshot", ["snapshot_date", "store_id", "sku_erp"], null_is_key=True),
+    ]
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+@query
+def grid_completeness(star: Star) -> DataFrame:
+    """Repeated cells and incomplete pairs of the event grid, and of the raw events seen as a grid."""
+    sparse = star.table("events").select(
+        F.col("ts").cast("date").alias("snapshot_date"),
+        F.col("user_id").cast("string").alias("store_id"),
+        F.col("event_type").alias("sku_erp"),
+    )
+    frames = [m.withColumn("grid", F.lit(name)) for name, g in (("dense", star.event_grid), ("sparse", sparse)) for m in checks.grid_checks(g)]
+    result = frames[0]
+    for frame in frames[1:]:
+        result = result.unionByName(frame)
+    return result
+
+
+@query
+def reconcile_full_outer(star: Star) -> DataFrame:
+    """Typed sales per document type against totals of the text delivery, whose unreadable amounts are missing."""
+    model = star.pos.groupBy("doc_type").agg(F.sum("amount").alias("amount"), F.sum("qty").alias("qty"), F.count("*").alias("n"))
+    delivered = totals_by_dimension(totals.pos_totals(star.pos_lines), "pos", "doc_type")
+    return unreconciled(model, delivered, "doc_type")
+
+
+@query
+def pii_scan(star: Star) -> DataFrame:
+    """Personal column names and personal values in every text column of the given tables."""
+    names = ("customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "benchmark", "conversations")
+    return personal_values({n: star.table(n) for n in names})
+
+
+# --- evidence ----------------------------------------------------------------------------------
+
+
+@query
+def assumption_metrics(star: Star) -> DataFrame:
+    return evidence.assumption_metrics(star.built)
+
+
+@query
+def returns_matching(star: Star) -> DataFrame:
+    return evidence.returns_matching(star.lines)
+
+
+@query
+def tracked_share(star: Star) -> DataFrame:
+    p = star.params
+    return evidence.tracked_share(star.lines, star.inventory, p["rotation_start"], p["as_of_date"])
+
+
+@query
+def stock_autocorr(star: Star) -> DataFrame:
+    """Stock of the event grid against purchases-like units: the counts of the day before its unknown days."""
+    sold = star.event_grid.where(F.col("stock_qty").isNotNull()).select(
+        F.lit(core.PHYSICAL).alias("channel"),
+        "store_id",
+        "sku_num",
+        F.date_add("snapshot_date", 1).alias("sale_date"),
+        F.col("stock_qty").alias("qty_net"),
+    )
+    return evidence.stock_against_sales(sold, star.event_grid)
+
+
+@query
+def utc_month_shift(star: Star) -> DataFrame:
+    return evidence.utc_month_shift(core.online_lines(star.orders, star.fx))
+
+
+# --- reports -----------------------------------------------------------------------------------
+
+
+@query
+def month_channel_pivot(star: Star) -> DataFrame:
+    return reports.months_by_channel(growth.mom_growth(_variants(star)))
+
+
+@query
+def month_variant_pivot(star: Star) -> DataFrame:
+    return reports.months_by_variant(_variants(star))
+
+
+@query
+def rank_gap(star: Star) -> DataFrame:
+    return reports.rank_boundary(_rotation(star))
+
+
+@query
+def report_top_products(star: Star) -> DataFrame:
+    by_sku = settle(_rotation(star))
+    return reports.top_products(
+        {"mart.q1_rotation_by_sku": by_sku, "mart.q1_top10_variants": rotation.top_variants(by_sku)}
+    )
+
+
+@query
+def report_rankings(star: Star) -> DataFrame:
+    return reports.rankings({"mart.q1_variant_summary": rotation.variant_summary(rotation.top_variants(_rotation(star)))})
+
+
+@query
+def report_stockout_stores(star: Star) -> DataFrame:
+    return reports.stockout_stores({"mart.q2_stores_with_stockouts": star.stockout_stores})
+
+
+@query
+def report_stockout_runs(star: Star) -> DataFrame:
+    return reports.stockout_runs({"mart.q2_stockout_runs": star.stockout_runs})
+
+
+@query
+def report_negative_products(star: Star) -> DataFrame:
+    return reports.negative_products({"mart.q4_negative_margin_products": margin.negative_margin_products(_margins(star))})
+
+
+@query
+def report_negative_stores(star: Star) -> DataFrame:
+    return reports.negative_stores(margin.negative_margin_by_store(_by_store(star), star.dim_store))
+
+
+@query
+def report_margin_variants(star: Star) -> DataFrame:
+    return reports.margin_variants(settle(_margins(star)))
+
+
+@query
+def below_cost_elsewhere(star: Star) -> DataFrame:
+    by_store = settle(_by_store(star))
+    return reports.below_cost_elsewhere(
+        by_store, margin.negative_margin_products(margin.margin_variants(by_store, star.dim_product))
+    )
+
+
+@query
+def checks_passed(star: Star) -> DataFrame:
+    """Total and passed checks of a staging gate over the roles."""
+    outcomes = evaluate(checks.staging_measures(star.staged, STAR_FORMATS), checks.checks_of(checks.STAGING))
+    return reports.checks_passed({"audit.quality_results": results_frame(star.spark, "run", outcomes)})

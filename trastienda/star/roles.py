@@ -14,10 +14,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trastienda.functions.amounts import COST, MONEY, RATE
-from trastienda.functions.keys import slug
+from trastienda.functions.keys import KeyFormats, slug
 from trastienda.functions.literals import known_values
 from trastienda.operators.validity import validity_intervals
-from trastienda.plans import core, staging
+from trastienda.plans import core, growth, margin, rotation, staging, stockouts
+from trastienda.sources import erp, totals
+from trastienda.sources.files import FX_COLUMNS
+from trastienda.sources.settle import settle
 
 # Nations whose region is contradicted, in the layout of the store proposals.
 PROPOSALS = (
@@ -28,6 +31,10 @@ PROPOSALS = (
 )
 # Cost steps of a part: first day and factor on its retail price.
 COST_STEPS = (("1995-03-01", "1.00"), ("1997-07-15", "1.50"), ("2000-02-29", "2.25"))
+# The keys of this schema are numbers of any length.
+STAR_FORMATS = KeyFormats(
+    pos=r"^CN-(\d+)$", erp=r"^ERP-(\d+)$", handle=r"^item-(\d+)$", number_type="bigint"
+)
 # A run on the event grid counts when it is longer than this.
 EVENT_RUN_DAYS = 10
 
@@ -260,6 +267,209 @@ class Star:
     def fct_sales(self) -> DataFrame:
         return core.with_product(self.lines, core.product_facts(self.dim_product, self.costs, self.products), sized_by=self.products)
 
+    # --- the raw layer ---------------------------------------------------------------------
+
+    @cached_property
+    def raw_pos(self) -> DataFrame:
+        """Store sales as text; taxed at the top rate they carry a decimal comma no number parser accepts."""
+        pos = self.table("lineitem")
+        amount = F.col("l_extendedprice").cast(MONEY).cast("string")
+        return pos.select(
+            F.concat_ws("-", "l_orderkey", "l_linenumber").alias("venta_id"),
+            F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("fecha_hora"),
+            store_key(F.col("l_suppkey")).alias("tienda_id"),
+            F.concat(F.lit("CN-"), F.lpad(F.col("l_partkey").cast("string"), 12, "0")).alias("sku"),
+            F.col("l_quantity").cast("int").cast("string").alias("cantidad"),
+            F.when(F.col("l_tax") >= 0.08, F.replace(amount, F.lit("."), F.lit(","))).otherwise(amount).alias("monto"),
+            F.lit("MXN").alias("moneda"),
+            F.when(F.col("l_returnflag") == "N", "I")
+            .when(F.col("l_returnflag") == "R", "E")
+            .when(F.col("l_linestatus") == "F", "P")
+            .otherwise("T")
+            .alias("tipo_comprobante"),
+        )
+
+    @cached_property
+    def raw_orders(self) -> DataFrame:
+        """Web orders with a text stamp and the personal columns, which only raw may hold."""
+        personal = self.table("orders").select(
+            F.col("o_orderkey").cast("string").alias("order_id"),
+            F.when(F.col("o_orderpriority") == "1-URGENT", F.lpad(F.col("o_custkey").cast("string"), 13, "X")).alias(
+                "customer_rfc"
+            ),
+            F.concat(F.lit("City "), F.col("o_custkey").cast("string")).alias("shipping_city"),
+            *[F.col(c) for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice", "o_orderpriority")],
+        )
+        status = F.col("o_orderstatus")
+        stamp = F.col("o_orderdate") + F.make_dt_interval(hours=(F.col("o_orderkey") % 24).cast("int"))
+        return personal.select(
+            "order_id",
+            F.date_format(stamp, "yyyy-MM-dd HH:mm:ss").alias("fecha"),
+            F.concat(F.lit("item-"), F.col("o_custkey").cast("string")).alias("product_handle"),
+            F.substring("o_orderpriority", 1, 1).cast("bigint").alias("cantidad"),
+            F.col("o_totalprice").alias("amount"),
+            F.when(status == "F", "MXN").when(status == "O", "USD").otherwise("EUR").alias("currency"),
+            "customer_rfc",
+            "shipping_city",
+        )
+
+    @cached_property
+    def raw_fx(self) -> DataFrame:
+        return self.fx.select(
+            F.date_format("rate_date", "yyyy-MM-dd").alias("fecha"),
+            "currency",
+            F.col("rate_to_mxn").cast("string").alias("rate_to_mxn"),
+        )
+
+    @cached_property
+    def pos_lines(self) -> DataFrame:
+        """The text lines of a CSV delivery of the store sales."""
+        return self.raw_pos.select(F.to_csv(F.struct("*")).alias("line"))
+
+    @cached_property
+    def documents(self) -> DataFrame:
+        """An inventory export as JSON Lines, one record per line, parsed into its blocks."""
+        stock = F.when(F.col("l_discount") > 0, (F.col("l_quantity").cast("int") * 3).cast("string")).otherwise('"N/A"')
+        snapshots = self.table("lineitem").where(F.col("l_linestatus") == "F").select(
+            F.format_string(
+                '{"snapshots":[{"fecha":"%s","tienda_id":"%s","sku_erp":"%s","cantidad_en_stock":%s}]}',
+                F.date_format("l_shipdate", "yyyy-MM-dd"),
+                store_key(F.col("l_suppkey")),
+                erp_key(F.col("l_partkey")),
+                stock,
+            ).alias("line")
+        )
+        steps = F.array(
+            *[
+                F.struct(
+                    F.lit(day).alias("fecha_vigencia"),
+                    (F.col("p_retailprice").cast(COST) * F.lit(factor).cast("decimal(4,2)"))
+                    .cast(COST)
+                    .cast("string")
+                    .alias("costo_mxn"),
+                    F.col("p_brand").alias("proveedor"),
+                )
+                for day, factor in COST_STEPS
+            ]
+        )
+        product = F.struct(
+            erp_key(F.col("p_partkey")).alias("sku_erp"),
+            F.col("p_name").alias("nombre"),
+            F.col("p_type").alias("categoria"),
+            steps.alias("cost_history"),
+        )
+        products = self.table("part").select(
+            F.to_json(F.struct(F.struct(F.array(product).alias("productos")).alias("catalogo"))).alias("line")
+        )
+        stores = self.stores.select(
+            F.to_json(
+                F.struct(
+                    F.array(
+                        F.struct(
+                            F.col("store_id").alias("tienda_id"),
+                            F.col("city").alias("ciudad"),
+                            F.col("region_erp").alias("region"),
+                            F.col("timezone_erp").alias("timezone"),
+                        )
+                    ).alias("tiendas_info")
+                )
+            ).alias("line")
+        )
+        mappings = self.mappings.select(
+            F.to_json(F.struct(F.array(F.struct("sku_pos", "sku_erp", "handle")).alias("sku_mappings"))).alias("line")
+        )
+        lines = snapshots.union(products).union(stores).union(mappings)
+        return lines.select(F.from_json("line", erp.document_schema()).alias("d")).select("d.*")
+
+    @cached_property
+    def source_totals(self) -> DataFrame:
+        return (
+            totals.pos_totals(self.clean_pos_lines)
+            .unionByName(totals.order_totals(self.raw_orders))
+            .unionByName(totals.fx_totals(self.raw_fx.select(F.to_csv(F.struct("*")).alias("line")), ",".join(FX_COLUMNS)))
+            .unionByName(totals.erp_totals(self.documents))
+        )
+
+    @cached_property
+    def clean_pos_lines(self) -> DataFrame:
+        """The delivery without the decimal commas, the counterpart of the typed role."""
+        monto = F.replace("monto", F.lit(","), F.lit("."))
+        return self.raw_pos.withColumn("monto", monto).select(F.to_csv(F.struct("*")).alias("line"))
+
+    # --- all layers by name ------------------------------------------------------------------
+
+    @cached_property
+    def staged(self) -> dict[str, DataFrame]:
+        """Raw and silver tables under their layer names."""
+        return {
+            "raw.pos_sales": self.raw_pos,
+            "raw.ecommerce_orders": self.raw_orders,
+            "raw.fx_rates": self.raw_fx,
+            "raw.erp_snapshots": self.inventory,
+            "raw.erp_products": self.products,
+            "raw.erp_sku_mappings": self.mappings,
+            "raw.erp_cost_history": self.costs,
+            "raw.erp_stores": self.stores,
+            "raw.source_totals": self.source_totals,
+            "stg.ref_doc_types": self.doc_types,
+            "stg.pos_sales": self.pos,
+            "stg.ecommerce_orders": self.orders,
+            "stg.fx_rates": self.fx,
+            "stg.products": self.products,
+            "stg.cost_history": self.costs,
+            "stg.sku_mappings": self.mappings,
+            "stg.stores": self.stores,
+            "stg.inventory_snapshots": self.inventory,
+        }
+
+    @cached_property
+    def built(self) -> dict[str, DataFrame]:
+        """Staged tables plus core and marts; what several readers share is written once."""
+        p = self.params
+        facts, products = settle(self.fct_sales), settle(self.dim_product)
+        by_sku = settle(
+            rotation.rotation_by_sku(facts, self.inventory, products, p["rotation_start"], p["as_of_date"])
+        )
+        top = settle(rotation.top_variants(by_sku))
+        months = settle(
+            growth.monthly_variants(
+                facts, self.coverage, p["growth_first_month"], p["growth_last_month"], p["last_month_complete"]
+            )
+        )
+        by_store = settle(margin.margin_by_product_store(facts, products))
+        losses = settle(margin.margin_variants(by_store, products))
+        return {
+            **self.staged,
+            "core.source_coverage": self.coverage,
+            "core.params": settle(core.anchor_params(self.coverage)),
+            "core.dim_store": self.dim_store,
+            "core.dim_product": products,
+            "core.fct_sales": facts,
+            "core.fct_inventory_daily": self.inventory,
+            "mart.q1_rotation_by_sku": by_sku,
+            "mart.q1_top10_variants": top,
+            "mart.q1_variant_summary": rotation.variant_summary(top),
+            "mart.q2_stockout_runs": self.stockout_runs,
+            "mart.q2_stores_with_stockouts": self.stockout_stores,
+            "mart.q3_monthly_variants": months,
+            "mart.q3_mom_growth": growth.mom_growth(months),
+            "mart.q4_margin_by_product_store": by_store,
+            "mart.q4_margin_variants": losses,
+            "mart.q4_negative_margin_products": margin.negative_margin_products(losses),
+            "mart.q4_negative_margin_by_store": margin.negative_margin_by_store(by_store, self.dim_store),
+        }
+
+    @cached_property
+    def stockout_runs(self) -> DataFrame:
+        w = self.event_window
+        return stockouts.stockout_runs(
+            self.event_grid, self.event_products, w["quarter_start"], w["quarter_end"], w["data_end"], EVENT_RUN_DAYS
+        )
+
+    @cached_property
+    def stockout_stores(self) -> DataFrame:
+        return stockouts.stores_with_stockouts(self.stockout_runs, self.event_stores, EVENT_RUN_DAYS)
+
 
 def store_key(number: Column) -> Column:
     return F.concat(F.lit("S"), number.cast("string"))
