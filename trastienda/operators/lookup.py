@@ -11,6 +11,11 @@ BROADCAST_ROWS = 200_000
 HOT_KEY_SLOTS = 1_000
 
 
+def is_small(frame: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a table of narrow rows can be broadcast, by its actual row count."""
+    return frame.count() <= rows
+
+
 def lookup(
     facts: DataFrame,
     dim: DataFrame,
@@ -26,7 +31,7 @@ def lookup(
     broadcast and the facts are not shuffled; a larger one is joined with its hot
     keys apart.
     """
-    if (dim if sized_by is None else sized_by).count() <= broadcast_rows:
+    if is_small(dim if sized_by is None else sized_by, broadcast_rows):
         return facts.join(F.broadcast(dim), on, "left")
     return split_hot_keys(facts, dim, on, hot_key_slots)
 

@@ -20,8 +20,15 @@ def validity_intervals(frame: DataFrame, key: str, valid_from: str) -> DataFrame
     )
 
 
+def asof_small(facts: DataFrame, intervals: DataFrame, key: str, day: str) -> DataFrame:
+    """Left join to the interval of the key that holds the day; for intervals small enough to broadcast."""
+    held = intervals.select(F.col(key).alias("_key"), *[c for c in intervals.columns if c != key])
+    matches = (F.col(key) == F.col("_key")) & F.col(day).between(F.col("valid_from"), F.col("valid_to"))
+    return facts.join(F.broadcast(held), matches, "left").drop("_key", "valid_from", "valid_to")
+
+
 def price_book(costs: DataFrame, key: str) -> DataFrame:
-    """One row per key with its cost intervals.
+    """One row per key with its cost intervals, for costs too many to broadcast.
 
     Intervals of a key do not overlap and start on different days, so a list is
     bounded by the calendar. Intervals that end before they start match no day.

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from trastienda.functions.amounts import DERIVED, RATE
 from trastienda.functions.dates import month_of, quarter_of
 from trastienda.functions.literals import fixed_table
-from trastienda.operators.lookup import lookup
-from trastienda.operators.validity import cost_on, price_book
+from trastienda.operators.lookup import is_small, lookup, split_hot_keys
+from trastienda.operators.validity import asof_small, cost_on, price_book
 
 # Channels, sources, provenance labels and the native currency.
 PHYSICAL, ONLINE, ONLINE_DOC_TYPE = "fisico", "ecommerce", "shopify"
@@ -193,29 +193,45 @@ def online_lines(orders: DataFrame, fx: DataFrame) -> DataFrame:
     )
 
 
-def product_facts(dim_product: DataFrame, cost_history: DataFrame, products: DataFrame) -> DataFrame:
-    """What a sales line needs to know of its product: link provenance and cost intervals."""
-    book = price_book(cost_history.join(products.select("sku_erp", "sku_num"), "sku_erp"), "sku_num")
-    return dim_product.select("sku_num", "pos_erp_link_source", "handle_link_source").join(book, "sku_num", "left")
+def cost_intervals(cost_history: DataFrame, products: DataFrame) -> DataFrame:
+    """Cost intervals under the product number that sales carry."""
+    return cost_history.join(products.select("sku_erp", "sku_num"), "sku_erp").select(
+        "sku_num", "valid_from", "valid_to", "unit_cost_mxn"
+    )
+
 
+def with_product(
+    lines: DataFrame,
+    dim_product: DataFrame,
+    cost_history: DataFrame,
+    products: DataFrame,
+    small: bool | None = None,
+) -> DataFrame:
+    """Add link provenance, the cost valid on the sale day, and the margin.
 
-def with_product(lines: DataFrame, product: DataFrame, sized_by: DataFrame | None = None) -> DataFrame:
-    """Add link provenance, the cost valid on the sale day, and the margin."""
+    Catalogue and cost intervals are counted first. If both are small they are
+    broadcast and the lines are not shuffled. Otherwise the intervals become one
+    list per product, and a single join with its hot keys apart brings both.
+    """
+    if small is None:
+        small = is_small(products) and is_small(cost_history)
+    links = dim_product.select("sku_num", "pos_erp_link_source", "handle_link_source")
+    costs = cost_intervals(cost_history, products)
+    if small:
+        linked = lines.join(F.broadcast(links), "sku_num", "left")
+        costed = asof_small(linked, costs, "sku_num", "sale_date")
+    else:
+        product = links.join(price_book(costs, "sku_num"), "sku_num", "left")
+        linked = split_hot_keys(lines, product, ["sku_num"])
+        costed = linked.withColumn("unit_cost_mxn", cost_on(F.col("sale_date"), F.col("cost_intervals")))
+    link = F.when(F.col("channel") == PHYSICAL, F.col("pos_erp_link_source")).otherwise(F.col("handle_link_source"))
     cost = F.col("qty_net") * F.col("unit_cost_mxn")
-    return (
-        lookup(lines, product, ["sku_num"], sized_by)
-        .withColumn(
-            "product_link_source",
-            F.when(F.col("channel") == PHYSICAL, F.col("pos_erp_link_source")).otherwise(F.col("handle_link_source")),
-        )
-        .withColumn("unit_cost_mxn", cost_on(F.col("sale_date"), F.col("cost_intervals")))
-        .select(
-            *lines.columns,
-            "product_link_source",
-            "unit_cost_mxn",
-            cost.cast(DERIVED).alias("cost_mxn_net"),
-            (F.col("revenue_mxn_net") - cost).cast(DERIVED).alias("margin_mxn_net"),
-        )
+    return costed.select(
+        *lines.columns,
+        link.alias("product_link_source"),
+        "unit_cost_mxn",
+        cost.cast(DERIVED).alias("cost_mxn_net"),
+        (F.col("revenue_mxn_net") - cost).cast(DERIVED).alias("margin_mxn_net"),
     )
 
 
@@ -230,7 +246,7 @@ def fct_sales(
 ) -> DataFrame:
     """Both channels in one fact; every source row is in it, non-sales with sign 0."""
     lines = physical_lines(pos, doc_types).unionByName(online_lines(orders, fx))
-    return with_product(lines, product_facts(dim_product, cost_history, products), sized_by=products)
+    return with_product(lines, dim_product, cost_history, products)
 
 
 def fct_inventory_daily(snapshots: DataFrame, products: DataFrame) -> DataFrame:

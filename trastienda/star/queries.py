@@ -328,7 +328,7 @@ def dq_staging(star: Star) -> DataFrame:
 
 @query
 def dq_core(star: Star) -> DataFrame:
-    return checks.core_measures(star.built)
+    return checks.core_measures(star.cored)
 
 
 @query

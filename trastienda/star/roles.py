@@ -265,7 +265,7 @@ class Star:
 
     @cached_property
     def fct_sales(self) -> DataFrame:
-        return core.with_product(self.lines, core.product_facts(self.dim_product, self.costs, self.products), sized_by=self.products)
+        return core.with_product(self.lines, self.dim_product, self.costs, self.products)
 
     # --- the raw layer ---------------------------------------------------------------------
 
@@ -383,10 +383,12 @@ class Star:
 
     @cached_property
     def source_totals(self) -> DataFrame:
-        return (
+        """Control totals of the deliveries, written once: the checks look single values up in them."""
+        fx_lines = self.raw_fx.select(F.to_csv(F.struct("*")).alias("line"))
+        return settle(
             totals.pos_totals(self.clean_pos_lines)
             .unionByName(totals.order_totals(self.raw_orders))
-            .unionByName(totals.fx_totals(self.raw_fx.select(F.to_csv(F.struct("*")).alias("line")), ",".join(FX_COLUMNS)))
+            .unionByName(totals.fx_totals(fx_lines, ",".join(FX_COLUMNS)))
             .unionByName(totals.erp_totals(self.documents))
         )
 
@@ -422,35 +424,44 @@ class Star:
             "stg.inventory_snapshots": self.inventory,
         }
 
+    @cached_property
+    def cored(self) -> dict[str, DataFrame]:
+        """Staged tables plus core; what has many readers is written once."""
+        coverage = settle(self.coverage)
+        return {
+            **self.staged,
+            "core.source_coverage": coverage,
+            "core.params": settle(core.anchor_params(coverage)),
+            "core.dim_store": self.dim_store,
+            "core.dim_product": settle(self.dim_product),
+            "core.fct_sales": settle(self.fct_sales),
+            "core.fct_inventory_daily": self.inventory,
+        }
+
     @cached_property
     def built(self) -> dict[str, DataFrame]:
-        """Staged tables plus core and marts; what several readers share is written once."""
-        p = self.params
-        facts, products = settle(self.fct_sales), settle(self.dim_product)
+        """All layers; marts that others read are written once."""
+        p, t = self.params, self.cored
+        facts, products = t["core.fct_sales"], t["core.dim_product"]
         by_sku = settle(
             rotation.rotation_by_sku(facts, self.inventory, products, p["rotation_start"], p["as_of_date"])
         )
         top = settle(rotation.top_variants(by_sku))
         months = settle(
             growth.monthly_variants(
-                facts, self.coverage, p["growth_first_month"], p["growth_last_month"], p["last_month_complete"]
+                facts, t["core.source_coverage"], p["growth_first_month"], p["growth_last_month"], p["last_month_complete"]
             )
         )
         by_store = settle(margin.margin_by_product_store(facts, products))
         losses = settle(margin.margin_variants(by_store, products))
+        runs = settle(self.stockout_runs)
         return {
-            **self.staged,
-            "core.source_coverage": self.coverage,
-            "core.params": settle(core.anchor_params(self.coverage)),
-            "core.dim_store": self.dim_store,
-            "core.dim_product": products,
-            "core.fct_sales": facts,
-            "core.fct_inventory_daily": self.inventory,
+            **t,
             "mart.q1_rotation_by_sku": by_sku,
             "mart.q1_top10_variants": top,
             "mart.q1_variant_summary": rotation.variant_summary(top),
-            "mart.q2_stockout_runs": self.stockout_runs,
-            "mart.q2_stores_with_stockouts": self.stockout_stores,
+            "mart.q2_stockout_runs": runs,
+            "mart.q2_stores_with_stockouts": stockouts.stores_with_stockouts(runs, self.event_stores, EVENT_RUN_DAYS),
             "mart.q3_monthly_variants": months,
             "mart.q3_mom_growth": growth.mom_growth(months),
             "mart.q4_margin_by_product_store": by_store,
