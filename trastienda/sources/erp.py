@@ -38,19 +38,25 @@ def read_documents(spark: SparkSession, path: str, *blocks: str) -> DataFrame:
     )
 
 
+# Variant types and the type names the staging rules look for.
+JSON_TYPES = {
+    "VOID": "NoneType",
+    "BIGINT": "int",
+    "STRING": "str",
+    "BOOLEAN": "bool",
+    "DECIMAL": "float",
+    "DOUBLE": "float",
+    "FLOAT": "float",
+    "ARRAY": "list",
+    "OBJECT": "dict",
+}
+
+
 def json_type(value: Column) -> Column:
     """The JSON type of a variant value, so that `5` and `"5"` stay apart."""
-    kind = F.schema_of_variant(value)
-    # The type names the staging rules look for.
-    return (
-        F.when(value.isNull() | (kind == "VOID"), "NoneType")
-        .when(kind == "BIGINT", "int")
-        .when(kind == "STRING", "str")
-        .when(kind == "BOOLEAN", "bool")
-        .when(kind.startswith("ARRAY"), "list")
-        .when(kind.startswith("OBJECT"), "dict")
-        .otherwise("float")
-    )
+    names = F.create_map(*[F.lit(x) for pair in JSON_TYPES.items() for x in pair])
+    kind = F.regexp_extract(F.coalesce(F.schema_of_variant(value), F.lit("VOID")), "^([A-Z]+)", 1)
+    return F.try_element_at(names, kind)
 
 
 def stores(documents: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Write an intermediate table once where a query reads it many times."""
+"""Write an intermediate table, or a text delivery, once where a query reads it several times."""
 
 from __future__ import annotations
 
@@ -11,7 +11,17 @@ from trastienda.session import shared_folder
 
 def settle(frame: DataFrame) -> DataFrame:
     """The frame as Parquet files in the shared folder: computed once, safe if executors are lost."""
-    spark = frame.sparkSession
-    path = f"{shared_folder(spark)}/settled-{uuid.uuid4().hex}"
+    path = _new_folder(frame, "parquet")
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def settle_lines(frame: DataFrame, kind: str) -> str:
+    """A one-column table as text files in the shared folder; the folder name ends with `kind`."""
+    path = _new_folder(frame, kind)
+    frame.write.text(path)
+    return path
+
+
+def _new_folder(frame: DataFrame, kind: str) -> str:
+    return f"{shared_folder(frame.sparkSession)}/settled-{uuid.uuid4().hex}.{kind}"

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trastienda.functions.literals import fixed_table
 from trastienda.sources.files import POS_COLUMNS, text_schema
 
 VALUE = "decimal(18,4)"
@@ -33,54 +34,60 @@ def _totals(frame: DataFrame, *rows: Column) -> DataFrame:
     return frame.select(F.inline(F.array(*rows)))
 
 
+def _added_up(spark: SparkSession, rows: DataFrame, source: str, *whole: str) -> DataFrame:
+    """Rows of the same metric and dimension as one; totals of a whole source are zero if it is empty."""
+    empty = fixed_table(spark, [(source, metric, "", 0) for metric in whole], "source, metric, dimension, value")
+    return (
+        rows.unionByName(empty.withColumn("value", F.col("value").cast(VALUE)))
+        .groupBy("source", "metric", "dimension")
+        .agg(F.sum("value").cast(VALUE).alias("value"))
+    )
+
+
 def pos_totals(lines: DataFrame) -> DataFrame:
-    """Rows, unreadable rows, and rows, amount and quantity per document type."""
+    """Rows, unreadable rows, and rows, amount and quantity per document type, from one pass."""
     header = ",".join(POS_COLUMNS)
+    # As a generator the parser runs once per line, however many fields are used.
     parsed = lines.where((F.col("line") != header) & (F.col("line") != "")).select(
-        F.from_csv("line", text_schema(POS_COLUMNS), {"escape": '"'}).alias("r")
+        F.inline(F.array(F.from_csv("line", text_schema(POS_COLUMNS), {"escape": '"'})))
     )
-    amount = F.col("r.monto").try_cast("decimal(28,6)")
-    qty = F.col("r.cantidad").try_cast("int")
-    per_type = parsed.groupBy(F.coalesce("r.tipo_comprobante", F.lit("")).alias("doc_type")).agg(
-        F.count("*").alias("n"),
-        F.count_if(amount.isNull() | qty.isNull()).alias("unreadable"),
-        F.coalesce(F.sum(amount), F.lit(0)).cast(WIDE).alias("amount"),
-        F.coalesce(F.sum(F.when(amount.isNotNull(), qty)), F.lit(0)).alias("qty"),
+    read = parsed.select(
+        F.coalesce("tipo_comprobante", F.lit("")).alias("doc_type"),
+        F.col("monto").try_cast("decimal(28,6)").alias("amount"),
+        F.col("cantidad").try_cast("int").alias("qty"),
     )
-    whole = per_type.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("unreadable"), F.lit(0)).alias("unreadable")
+    per_type = read.groupBy("doc_type").agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("amount").isNull() | F.col("qty").isNull()).alias("unreadable"),
+        F.coalesce(F.sum("amount"), F.lit(0)).cast(WIDE).alias("amount"),
+        F.coalesce(F.sum(F.when(F.col("amount").isNotNull(), F.col("qty"))), F.lit(0)).alias("qty"),
     )
-    none = F.lit("")
-    return _totals(
-        whole,
-        _row("pos", "rows", none, F.col("n")),
-        _row("pos", "unparseable_rows", none, F.col("unreadable")),
-    ).unionByName(
-        _totals(
-            per_type,
-            _row("pos", "rows_by_doc_type", F.col("doc_type"), F.col("n")),
-            _row("pos", "amount_by_doc_type", F.col("doc_type"), F.col("amount")),
-            _row("pos", "qty_by_doc_type", F.col("doc_type"), F.col("qty")),
-        )
+    rows = _totals(
+        per_type,
+        _row("pos", "rows", F.lit(""), F.col("n")),
+        _row("pos", "unparseable_rows", F.lit(""), F.col("unreadable")),
+        _row("pos", "rows_by_doc_type", F.col("doc_type"), F.col("n")),
+        _row("pos", "amount_by_doc_type", F.col("doc_type"), F.col("amount")),
+        _row("pos", "qty_by_doc_type", F.col("doc_type"), F.col("qty")),
     )
+    return _added_up(lines.sparkSession, rows, "pos", "rows", "unparseable_rows")
 
 
 def order_totals(orders: DataFrame) -> DataFrame:
-    """Rows, and rows, amount and quantity per currency; reads three columns."""
+    """Rows, and rows, amount and quantity per currency; reads three columns once."""
     per_currency = orders.groupBy("currency").agg(
         F.count("*").alias("n"),
         F.sum(F.col("amount").cast("string").try_cast("decimal(28,6)")).cast(WIDE).alias("amount"),
         F.sum(F.col("cantidad").cast("bigint")).alias("qty"),
     )
-    whole = per_currency.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-    return _totals(whole, _row("ecommerce", "rows", F.lit(""), F.col("n"))).unionByName(
-        _totals(
-            per_currency.where(F.col("currency").isNotNull()),
-            _row("ecommerce", "rows_by_currency", F.col("currency"), F.col("n")),
-            _row("ecommerce", "amount_by_currency", F.col("currency"), F.col("amount")),
-            _row("ecommerce", "qty_by_currency", F.col("currency"), F.col("qty")),
-        )
-    )
+    rows = _totals(
+        per_currency,
+        _row("ecommerce", "rows", F.lit(""), F.col("n")),
+        _row("ecommerce", "rows_by_currency", F.col("currency"), F.col("n")),
+        _row("ecommerce", "amount_by_currency", F.col("currency"), F.col("amount")),
+        _row("ecommerce", "qty_by_currency", F.col("currency"), F.col("qty")),
+    ).where(F.col("dimension").isNotNull())
+    return _added_up(orders.sparkSession, rows, "ecommerce", "rows")
 
 
 def fx_totals(lines: DataFrame, header: str) -> DataFrame:

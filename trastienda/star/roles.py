@@ -20,7 +20,7 @@ from trastienda.operators.validity import validity_intervals
 from trastienda.plans import core, growth, margin, rotation, staging, stockouts
 from trastienda.sources import erp, totals
 from trastienda.sources.files import FX_COLUMNS
-from trastienda.sources.settle import settle
+from trastienda.sources.settle import settle, settle_lines
 
 # Nations whose region is contradicted, in the layout of the store proposals.
 PROPOSALS = (
@@ -53,11 +53,24 @@ class Star:
             self._opened[name] = self.spark.read.parquet(f"{self.folder.rstrip('/')}/{name}.parquet")
         return self._opened[name]
 
+    def spread(self, name: str, key: str) -> DataFrame:
+        """A table for work that is heavy per row.
+
+        A small table may come in fewer pieces than there are cores and is dealt out
+        to all of them; one with enough pieces is not shuffled.
+        """
+        table, cores = self.table(name), self.spark.sparkContext.defaultParallelism
+        return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores, key)
+
     @cached_property
     def pos(self) -> DataFrame:
+        return self.pos_of(self.table("lineitem"))
+
+    @staticmethod
+    def pos_of(lineitem: DataFrame) -> DataFrame:
         """Store sales. Flags N and R are sales and returns, A is excluded."""
         flag = F.col("l_returnflag")
-        return self.table("lineitem").select(
+        return lineitem.select(
             F.concat_ws("-", "l_orderkey", "l_linenumber").alias("sale_id"),
             F.col("l_shipdate").alias("sale_ts"),
             F.col("l_shipdate").cast("date").alias("sale_date"),
@@ -261,7 +274,8 @@ class Star:
     @cached_property
     def lines(self) -> DataFrame:
         """Sales lines of both channels before product facts are added."""
-        return core.physical_lines(self.pos, self.doc_types).unionByName(core.online_lines(self.orders, self.fx))
+        pos = self.pos_of(self.spread("lineitem", "l_orderkey"))
+        return core.physical_lines(pos, self.doc_types).unionByName(core.online_lines(self.orders, self.fx))
 
     @cached_property
     def fct_sales(self) -> DataFrame:
@@ -272,7 +286,7 @@ class Star:
     @cached_property
     def raw_pos(self) -> DataFrame:
         """Store sales as text; taxed at the top rate they carry a decimal comma no number parser accepts."""
-        pos = self.table("lineitem")
+        pos = self.spread("lineitem", "l_orderkey")
         amount = F.col("l_extendedprice").cast(MONEY).cast("string")
         return pos.select(
             F.concat_ws("-", "l_orderkey", "l_linenumber").alias("venta_id"),
@@ -323,14 +337,17 @@ class Star:
 
     @cached_property
     def pos_lines(self) -> DataFrame:
-        """The text lines of a CSV delivery of the store sales."""
-        return self.raw_pos.select(F.to_csv(F.struct("*")).alias("line"))
+        """The text lines of a CSV delivery of the store sales, read back from its files."""
+        return self.delivered(self.raw_pos)
+
+    def delivered(self, raw: DataFrame) -> DataFrame:
+        return totals.read_lines(self.spark, settle_lines(raw.select(F.to_csv(F.struct("*"))), "csv"))
 
     @cached_property
     def documents(self) -> DataFrame:
-        """An inventory export as JSON Lines, one record per line, parsed into its blocks."""
+        """An inventory export as JSON Lines, one record per line, read back from its files."""
         stock = F.when(F.col("l_discount") > 0, (F.col("l_quantity").cast("int") * 3).cast("string")).otherwise('"N/A"')
-        snapshots = self.table("lineitem").where(F.col("l_linestatus") == "F").select(
+        snapshots = self.spread("lineitem", "l_orderkey").where(F.col("l_linestatus") == "F").select(
             F.format_string(
                 '{"snapshots":[{"fecha":"%s","tienda_id":"%s","sku_erp":"%s","cantidad_en_stock":%s}]}',
                 F.date_format("l_shipdate", "yyyy-MM-dd"),
@@ -379,16 +396,15 @@ class Star:
             F.to_json(F.struct(F.array(F.struct("sku_pos", "sku_erp", "handle")).alias("sku_mappings"))).alias("line")
         )
         lines = snapshots.union(products).union(stores).union(mappings)
-        return lines.select(F.from_json("line", erp.document_schema()).alias("d")).select("d.*")
+        return erp.read_documents(self.spark, settle_lines(lines, "jsonl"))
 
     @cached_property
     def source_totals(self) -> DataFrame:
         """Control totals of the deliveries, written once: the checks look single values up in them."""
-        fx_lines = self.raw_fx.select(F.to_csv(F.struct("*")).alias("line"))
         return settle(
             totals.pos_totals(self.clean_pos_lines)
             .unionByName(totals.order_totals(self.raw_orders))
-            .unionByName(totals.fx_totals(fx_lines, ",".join(FX_COLUMNS)))
+            .unionByName(totals.fx_totals(self.delivered(self.raw_fx), ",".join(FX_COLUMNS)))
             .unionByName(totals.erp_totals(self.documents))
         )
 
@@ -396,7 +412,7 @@ class Star:
     def clean_pos_lines(self) -> DataFrame:
         """The delivery without the decimal commas, the counterpart of the typed role."""
         monto = F.replace("monto", F.lit(","), F.lit("."))
-        return self.raw_pos.withColumn("monto", monto).select(F.to_csv(F.struct("*")).alias("line"))
+        return self.delivered(self.raw_pos.withColumn("monto", monto))
 
     # --- all layers by name ------------------------------------------------------------------
 
