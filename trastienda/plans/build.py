@@ -28,7 +28,7 @@ from trastienda.sources.lake import Lake
 
 Tables = dict[str, DataFrame]
 RESULTS, EVIDENCE = "quality_results", "assumption_metrics"
-MONTH = "sale_month"
+MONTH, STOCK_MONTH = "sale_month", "snapshot_month"
 WRITERS = 4
 
 
@@ -121,9 +121,12 @@ class Run:
                 "core.source_coverage": core.source_coverage(pos, orders, snapshots),
                 "core.dim_store": core.dim_store(t["stg.stores"], core.store_proposals(self.spark)),
                 "core.dim_product": core.dim_product(products, t["stg.sku_mappings"], pos, orders),
-                "core.fct_inventory_daily": core.fct_inventory_daily(snapshots, products),
             }
         )
+        inventory = core.fct_inventory_daily(snapshots, products)
+        self.store(
+            "core.fct_inventory_daily", inventory.withColumn(STOCK_MONTH, F.trunc("snapshot_date", "MM")), (STOCK_MONTH,)
+        )
         self.store("core.params", core.anchor_params(t["core.source_coverage"]))
         facts = core.fct_sales(
             pos, orders, t["stg.ref_doc_types"], t["stg.fx_rates"], t["core.dim_product"], t["stg.cost_history"], products
@@ -139,17 +142,21 @@ class Run:
         p = known_values(t["core.params"])
         data_end = known_values(coverage.where(F.col("source") == core.INVENTORY).select("last_date"))["last_date"]
 
-        in_window = sales.where(F.col(MONTH).between(F.trunc(p["rotation_start"], "MM"), p["as_of_date"]))
+        # The month columns are partitions: filters on them leave the other months unread.
+        from_month = F.trunc(p["rotation_start"], "MM")
+        sold_in_window = sales.where(F.col(MONTH).between(from_month, p["as_of_date"]))
+        held_in_window = inventory.where(F.col(STOCK_MONTH).between(from_month, p["as_of_date"]))
+        grown_in_window = sales.where(F.col(MONTH) >= F.add_months(p["growth_first_month"], -1))
         self.store_all(
             {
                 "mart.q1_rotation_by_sku": rotation.rotation_by_sku(
-                    in_window, inventory, products, p["rotation_start"], p["as_of_date"]
+                    sold_in_window, held_in_window, products, p["rotation_start"], p["as_of_date"]
                 ),
                 "mart.q2_stockout_runs": stockouts.stockout_runs(
                     inventory, products, p["quarter_start"], p["quarter_end"], data_end
                 ),
                 "mart.q3_monthly_variants": growth.monthly_variants(
-                    sales, coverage, p["growth_first_month"], p["growth_last_month"], p["last_month_complete"]
+                    grown_in_window, coverage, p["growth_first_month"], p["growth_last_month"], p["last_month_complete"]
                 ),
                 "mart.q4_margin_by_product_store": margin.margin_by_product_store(sales, products),
             }

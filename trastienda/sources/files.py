@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 # The columns of the source files, all read as text.
 POS_COLUMNS = ("venta_id", "fecha_hora", "tienda_id", "sku", "cantidad", "monto", "moneda", "tipo_comprobante")
 FX_COLUMNS = ("fecha", "currency", "rate_to_mxn")
+HASH_UP_TO_BYTES = 1 << 30
 
 
 def text_schema(columns: tuple[str, ...]) -> str:
@@ -61,20 +63,22 @@ def read_orders(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def file_manifest(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """Source, file name, SHA-256 and size of every file; a folder gives one row per part."""
-    parts = [
-        spark.read.format("binaryFile")
-        .load(path)
-        .select(
-            F.lit(source).alias("source"),
-            F.element_at(F.split("path", "/"), -1).alias("file_name"),
-            F.sha2("content", 256).alias("sha256"),
-            F.col("length").alias("bytes"),
-        )
-        for source, path in paths.items()
-    ]
-    manifest = parts[0]
-    for part in parts[1:]:
-        manifest = manifest.unionByName(part)
-    return manifest
+def file_manifest(spark: SparkSession, paths: dict[str, str], hash_up_to: int = HASH_UP_TO_BYTES) -> DataFrame:
+    """Source, file name, SHA-256 and size of every file; a folder gives one row per part.
+
+    A hash needs its file in one piece. A file above `hash_up_to` bytes is listed
+    with its size and no hash, and its content is not read.
+    """
+
+    def listed(source: str, path: str) -> list[DataFrame]:
+        found = spark.read.format("binaryFile").load(path)
+        name = F.element_at(F.split("path", "/"), -1)
+        fits = F.col("length") <= hash_up_to
+        return [
+            found.where(condition).select(
+                F.lit(source).alias("source"), name.alias("file_name"), digest.alias("sha256"), F.col("length").alias("bytes")
+            )
+            for condition, digest in ((fits, F.sha2("content", 256)), (~fits, F.lit(None).cast("string")))
+        ]
+
+    return reduce(DataFrame.unionByName, [part for source, path in paths.items() for part in listed(source, path)])
