@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
@@ -16,6 +18,13 @@ def settle(frame: DataFrame) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def settle_all(builders: dict[str, Callable[[], DataFrame]], side_by_side: int = 4) -> dict[str, DataFrame]:
+    """Tables that do not read each other, built and written side by side to fill idle slots."""
+    with ThreadPoolExecutor(side_by_side) as pool:
+        written = {name: pool.submit(lambda build=build: settle(build())) for name, build in builders.items()}
+        return {name: done.result() for name, done in written.items()}
+
+
 def settle_lines(frame: DataFrame, kind: str) -> str:
     """A one-column table as text files in the shared folder; the folder name ends with `kind`."""
     path = _new_folder(frame, kind)

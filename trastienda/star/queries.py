@@ -31,10 +31,8 @@ RATIO_DIGITS = 6
 def flat(frame: DataFrame, digits: int = RATIO_DIGITS) -> DataFrame:
     def plain(field: T.StructField):
         column = F.col(field.name)
-        if isinstance(field.dataType, T.DateType):
-            column = F.date_format(column, "yyyy-MM-dd")
-        elif isinstance(field.dataType, (T.TimestampNTZType, T.TimestampType)):
-            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
+        if isinstance(field.dataType, (T.DateType, T.TimestampNTZType)):
+            column = column.cast("string")
         elif isinstance(field.dataType, T.DecimalType):
             column = column.cast("double")
         elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):

@@ -20,7 +20,7 @@ from trastienda.operators.validity import validity_intervals
 from trastienda.plans import core, growth, margin, rotation, staging, stockouts
 from trastienda.sources import erp, totals
 from trastienda.sources.files import FX_COLUMNS
-from trastienda.sources.settle import settle, settle_lines
+from trastienda.sources.settle import settle_all, settle_lines
 
 # Nations whose region is contradicted, in the layout of the store proposals.
 PROPOSALS = (
@@ -400,8 +400,8 @@ class Star:
 
     @cached_property
     def source_totals(self) -> DataFrame:
-        """Control totals of the deliveries, written once: the checks look single values up in them."""
-        return settle(
+        """Control totals of the deliveries."""
+        return (
             totals.pos_totals(self.clean_pos_lines)
             .unionByName(totals.order_totals(self.raw_orders))
             .unionByName(totals.fx_totals(self.delivered(self.raw_fx), ",".join(FX_COLUMNS)))
@@ -443,46 +443,57 @@ class Star:
     @cached_property
     def cored(self) -> dict[str, DataFrame]:
         """Staged tables plus core; what has many readers is written once."""
-        coverage = settle(self.coverage)
+        written = settle_all(
+            {
+                "raw.source_totals": lambda: self.source_totals,
+                "core.fct_sales": lambda: self.fct_sales,
+                "core.dim_product": lambda: self.dim_product,
+                "core.source_coverage": lambda: self.coverage,
+                "core.params": lambda: core.anchor_params(self.coverage),
+            }
+        )
         return {
             **self.staged,
-            "core.source_coverage": coverage,
-            "core.params": settle(core.anchor_params(coverage)),
             "core.dim_store": self.dim_store,
-            "core.dim_product": settle(self.dim_product),
-            "core.fct_sales": settle(self.fct_sales),
             "core.fct_inventory_daily": self.inventory,
+            **written,
         }
 
     @cached_property
     def built(self) -> dict[str, DataFrame]:
         """All layers; marts that others read are written once."""
-        p, t = self.params, self.cored
-        facts, products = t["core.fct_sales"], t["core.dim_product"]
-        by_sku = settle(
-            rotation.rotation_by_sku(facts, self.inventory, products, p["rotation_start"], p["as_of_date"])
-        )
-        top = settle(rotation.top_variants(by_sku))
-        months = settle(
-            growth.monthly_variants(
-                facts, t["core.source_coverage"], p["growth_first_month"], p["growth_last_month"], p["last_month_complete"]
-            )
+        t = self.cored
+        p = known_values(t["core.params"])
+        facts, products, coverage = t["core.fct_sales"], t["core.dim_product"], t["core.source_coverage"]
+        first = settle_all(
+            {
+                "mart.q1_rotation_by_sku": lambda: rotation.rotation_by_sku(
+                    facts, self.inventory, products, p["rotation_start"], p["as_of_date"]
+                ),
+                "mart.q2_stockout_runs": lambda: self.stockout_runs,
+                "mart.q3_monthly_variants": lambda: growth.monthly_variants(
+                    facts, coverage, p["growth_first_month"], p["growth_last_month"], p["last_month_complete"]
+                ),
+                "mart.q4_margin_by_product_store": lambda: margin.margin_by_product_store(facts, products),
+            }
+        )
+        by_store = first["mart.q4_margin_by_product_store"]
+        second = settle_all(
+            {
+                "mart.q1_top10_variants": lambda: rotation.top_variants(first["mart.q1_rotation_by_sku"]),
+                "mart.q4_margin_variants": lambda: margin.margin_variants(by_store, products),
+            }
         )
-        by_store = settle(margin.margin_by_product_store(facts, products))
-        losses = settle(margin.margin_variants(by_store, products))
-        runs = settle(self.stockout_runs)
         return {
             **t,
-            "mart.q1_rotation_by_sku": by_sku,
-            "mart.q1_top10_variants": top,
-            "mart.q1_variant_summary": rotation.variant_summary(top),
-            "mart.q2_stockout_runs": runs,
-            "mart.q2_stores_with_stockouts": stockouts.stores_with_stockouts(runs, self.event_stores, EVENT_RUN_DAYS),
-            "mart.q3_monthly_variants": months,
-            "mart.q3_mom_growth": growth.mom_growth(months),
-            "mart.q4_margin_by_product_store": by_store,
-            "mart.q4_margin_variants": losses,
-            "mart.q4_negative_margin_products": margin.negative_margin_products(losses),
+            **first,
+            **second,
+            "mart.q1_variant_summary": rotation.variant_summary(second["mart.q1_top10_variants"]),
+            "mart.q2_stores_with_stockouts": stockouts.stores_with_stockouts(
+                first["mart.q2_stockout_runs"], self.event_stores, EVENT_RUN_DAYS
+            ),
+            "mart.q3_mom_growth": growth.mom_growth(first["mart.q3_monthly_variants"]),
+            "mart.q4_negative_margin_products": margin.negative_margin_products(second["mart.q4_margin_variants"]),
             "mart.q4_negative_margin_by_store": margin.negative_margin_by_store(by_store, self.dim_store),
         }
 
