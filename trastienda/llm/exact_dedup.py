@@ -37,6 +37,8 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "300",
+    # a store of each partition would reserve megabytes of disk ahead
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 LOG = "digest string, n long, doc_id long, place string, batch long"
 
