@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trastienda.llm import exact_dedup, mixing
-from trastienda.llm.common import table
+import corpus_pipeline
+from trastienda.llm import exact_dedup, language, mixing, packing, personal, quality, secrets, simhash, toxicity, warc
+from trastienda.llm.common import held_out, table
+from trastienda.sources.settle import settle
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,17 +18,74 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    known = language.learn(docs.where(~held_out(F.col("doc_id"))).select("text", "lang"))
+    found = language.predict(docs, known, F.col("doc_id"))
+    return found.select(F.col("key").alias("doc_id"), held_out(F.col("key")).alias("held_out"), "lang_pred", "score", "margin", "accepted")
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op4_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return mixed.select("row.doc_id", "size", "source_size", "target", "taken", F.get("times", F.lit(0)).alias("first_time"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.learn(docs.where(~held_out(F.col("doc_id"))).join(labels.where("toxic IS NOT NULL"), "doc_id"))
+    found = toxicity.score(docs, model, F.col("doc_id")).withColumnRenamed("key", "doc_id")
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence", "n_passages")
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").select("doc_id", "quality")
+    counts = settle(quality.counted(docs, F.struct("doc_id", "lang")).select("key.doc_id", F.col("key.lang").alias("stratum"), *quality.BASE, "n_lines"))
+    cutoffs = quality.learn(counts.join(labels.where("quality IS NOT NULL"), "doc_id").withColumn("good", F.col("quality") == 1))
+    return quality.judged(counts, cutoffs).select("doc_id", *quality.BASE, "base_failed", "kept", F.concat_ws(",", "failed").alias("failed_rules"))
+
+
+def op7_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("key").alias("doc_id"), "fingerprint", F.col("component").alias("component_id"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.personal_data(table(spark, sf_dir, "documents"))
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.secrets(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_language_id": op2_language_id,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op4_curriculum_mix": op4_curriculum_mix,
+    "op5_toxicity": op5_toxicity,
+    "op6_quality_rules": op6_quality_rules,
+    "op7_simhash_trie": op7_simhash_trie,
+    "op8_warc": op8_warc,
+    "op9_personal_data": op9_personal_data,
+    "op10_secret_scan": op10_secret_scan,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
+    "op8_warc": """
+        SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+               CASE WHEN octet_length(encode(coalesce(html, ''))) < 1000 OR page_id = max(page_id) OVER same THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN octet_length(encode(coalesce(html, ''))) >= 1000 AND page_id <> max(page_id) OVER same THEN max(page_id) OVER same END AS refers_to
+        FROM pages WINDOW same AS (PARTITION BY coalesce(html, ''))
+    """,
     "op1_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
