@@ -1,20 +1,21 @@
 """Language identification by compression.
 
 For each language a bounded sample of labelled text becomes a raw-content dictionary of
-zstandard. A text is cut into blocks, each block is compressed once with every dictionary,
-and the language whose dictionary gives the fewest bytes over all blocks wins. Blocks keep a long text
-from being its own dictionary, so that every part of it counts alike. The size with no
-dictionary is the yardstick: a text that no dictionary helps, or that two help
-almost alike, is rejected.
+zstandard. A text is reduced to its letters and cut into blocks, each block is compressed once
+with every dictionary, and the language whose dictionary gives the fewest bytes over all
+blocks wins. Blocks keep a long text from being its own dictionary, so that every part of it
+counts alike. A text for which the runner-up needs hardly more bytes is rejected: it is too
+short to tell, or hardly made of words of a known language.
 
 Defined cases: null text, and text without a letter, are `und` with score 0 and rejected;
 without any labelled text everything is `und`; rows with null lang teach nothing; repeated
-rows are predicted alike; equal sizes go to the language first by name; other columns are
-ignored.
+rows are predicted alike; equal sizes go to the language with most labelled rows; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -27,18 +28,19 @@ from pyspark.sql import functions as F
 from trastienda.llm.common import text_of
 
 #: The sample that a language's dictionary is made of: so many documents, so many characters of each.
-SAMPLE_DOCS, SAMPLE_CHARS = 64, 2000
-BLOCK_CHARS = 4096
-LEVEL = 1
-#: Rejected: the runner-up needs less than this much more, as a part of what the winner saves.
-MIN_MARGIN = 0.05
+SAMPLE_DOCS, SAMPLE_CHARS = 64, 500
+BLOCK_CHARS = 1024
+LEVEL = 9
+#: Rejected: the winner saves less than this part of the bytes that the runner-up needs.
+MIN_MARGIN = 0.01
 UND = "und"
+_APART = re.compile(r"[\W\d_]+")
 LETTER = r"\p{L}"
 PREDICTED = "lang_pred string, score double, margin double, accepted boolean"
 
 
 class Dictionaries(NamedTuple):
-    """Bounded by SAMPLE_DOCS x SAMPLE_CHARS characters a language."""
+    """The languages from the most to the least labelled one. Bounded by SAMPLE_DOCS x SAMPLE_CHARS characters a language."""
 
     names: list[str]
     contents: list[bytes]
@@ -52,35 +54,39 @@ def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int
     begin = F.pmod("deal", F.greatest(F.length("text") - sample_chars, F.lit(0)).cast("long") + 1).cast("int") + 1
     stretch = F.col("text").substr(begin, F.lit(sample_chars)).alias("stretch")
     found = rows.join(chosen, ["lang", "deal"]).select("lang", "deal", stretch).distinct().orderBy("lang", "deal", "stretch").collect()
-    names = sorted({row["lang"] for row in found})
-    return Dictionaries(names, ["\n".join(row["stretch"] for row in found if row["lang"] == name).encode() for name in names])
+    often = {row["lang"]: row["count"] for row in rows.groupBy("lang").count().collect()}
+    names = sorted({row["lang"] for row in found}, key=lambda name: (-often[name], name))
+    return Dictionaries(names, [" ".join(letters(row["stretch"]) for row in found if row["lang"] == name).encode() for name in names])
+
+
+def letters(text: str) -> str:
+    return _APART.sub(" ", text.lower())
 
 
 class Scales:
     """Compressors of one task."""
 
     def __init__(self, dictionaries: Dictionaries, level: int) -> None:
-        self.plain = zstandard.ZstdCompressor(level=level, write_content_size=False)
         self.each = []
         for content in dictionaries.contents:
             raw = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             raw.precompute_compress(level=level)
             self.each.append(zstandard.ZstdCompressor(level=level, dict_data=raw, write_content_size=False))
 
-    def weigh(self, text: str) -> tuple[list[int], int]:
-        """Bytes with each dictionary, and with none."""
+    def weigh(self, text: str) -> list[int]:
+        """Bytes with each dictionary."""
+        text = letters(text)
         blocks = [text[k : k + BLOCK_CHARS].encode("utf-8", "replace") for k in range(0, len(text), BLOCK_CHARS)]
-        return [sum(len(c.compress(b)) for b in blocks) for c in self.each], sum(len(self.plain.compress(b)) for b in blocks)
+        return [sum(len(c.compress(b)) for b in blocks) for c in self.each]
 
 
-def judge(sizes: list[int], plain: int) -> tuple[int, float, float]:
+def judge(sizes: list[int]) -> tuple[int, float, float]:
     """(winner, score, margin). The score is the winner's share if a byte less doubles the odds; the
-    margin is the distance to the runner-up as a part of what the winner saves."""
-    winner = min(range(len(sizes)), key=lambda k: (sizes[k], k))
+    margin is the distance to the runner-up as a part of the runner-up's bytes."""
+    winner = sizes.index(min(sizes))
     score = 1 / float(np.exp2(-np.minimum(np.array(sizes) - sizes[winner], 1000.0)).sum())
-    saved = plain - sizes[winner]
-    second = min((size for k, size in enumerate(sizes) if k != winner), default=plain)
-    return winner, score, max(0.0, (second - sizes[winner]) / saved) if saved > 0 else 0.0
+    second = min((size for k, size in enumerate(sizes) if k != winner), default=0)
+    return winner, score, (second - sizes[winner]) / second if second else 1.0
 
 
 def predict(docs: DataFrame, dictionaries: Dictionaries, carry: Column, level: int = LEVEL, min_margin: float = MIN_MARGIN) -> DataFrame:
@@ -96,7 +102,7 @@ def predict(docs: DataFrame, dictionaries: Dictionaries, carry: Column, level: i
                 if not lettered or not known.names:
                     out.append((UND, 0.0, 0.0, False))
                     continue
-                winner, score, margin = judge(*scales.weigh(text.as_py()))
+                winner, score, margin = judge(scales.weigh(text.as_py()))
                 out.append((known.names[winner], score, margin, margin >= min_margin))
             columns = list(zip(*out, strict=True)) or [()] * 4
             kinds = [pa.string(), pa.float64(), pa.float64(), pa.bool_()]

@@ -6,8 +6,9 @@ part of good documents beyond it at most `risk`? The test is the exact binomial
 the same as asking whether the Clopper-Pearson bound is at most `risk`. In a stratum a rule's
 cutoffs are tested from the loosest to the strictest until one fails, which needs no correction
 within the sequence; the level is shared out over all rules and strata (Bonferroni). So with
-probability 1 - `level` no rule in any stratum rejects more good documents than promised. Where
-no cutoff passes, the rule doesn't apply.
+probability 1 - `level` no rule in any stratum rejects more good documents than promised. Of the
+cutoffs that passed, the one that is worth most is used: bad documents that it rejects, less a
+price for each good one. Where none is worth anything, the rule doesn't apply.
 
 Defined cases: null text has no words and fails the base rules; documents of a stratum without
 enough labels are only held to the base rules; null strata are a stratum of their own;
@@ -28,6 +29,8 @@ from pyspark.sql import functions as F
 from trastienda.llm.common import WORD, text_of
 
 RISK, LEVEL = 0.02, 0.05
+#: Bad documents that a cutoff must reject for each good one.
+PRICE = 5
 #: Cutoffs of every rule from loose to strict, as parts; a document is beyond one if its value is larger.
 GRID = tuple(round(x / 200, 3) for x in range(199, 0, -1))
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -92,13 +95,14 @@ def binomial_below(k: int, n: int, p: float) -> float:
     return min(1.0, math.exp(top) * math.fsum(math.exp(x - top) for x in logs))
 
 
-def choose(beyond: list[int], n: int, risk: float, level: float) -> int | None:
-    """The strictest cutoff (position in the grid) before the first that fails; beyond[i] of n good documents are beyond it."""
-    best = None
-    for position, k in enumerate(beyond):
+def choose(good: list[int], bad: list[int], n: int, risk: float, level: float) -> int | None:
+    """The most useful cutoff (position in the grid) before the first that fails; good[i] of n good documents and bad[i] bad ones are beyond it."""
+    best, worth = None, 0
+    for position, (k, gain) in enumerate(zip(good, bad, strict=True)):
         if k > risk * n or binomial_below(k, n, risk) > level:
             break
-        best = position
+        if gain - PRICE * k > worth:
+            best, worth = position, gain - PRICE * k
     return best
 
 
@@ -107,22 +111,17 @@ def learn(labelled: DataFrame, risk: float = RISK, level: float = LEVEL) -> dict
 
     What reaches the driver is a count for each stratum, rule and cutoff of the grid.
     """
-    good = labelled.where("good").where(~base_failed())
     rules = F.explode(F.array(*[F.struct(F.lit(name).alias("rule"), value.alias("value")) for name, value in rule_values().items()])).alias("r")
-    # the number of cutoffs that the value is beyond; grid positions count from the loosest
-    step = (F.ceil(F.col("r.value") * 200) - 1).cast("int")
-    counts = good.select("stratum", rules).groupBy("stratum", "r.rule", F.least(F.greatest(step, F.lit(0)), F.lit(len(GRID))).alias("step")).agg(F.count("*").alias("n")).collect()
-    strata: dict[tuple[str | None, str], Counter] = {}
+    # the number of cutoffs that the value is beyond, the strictest first
+    step = F.least(F.greatest((F.ceil(F.col("r.value") * 200) - 1).cast("int"), F.lit(0)), F.lit(len(GRID)))
+    counts = labelled.where(~base_failed()).select("stratum", "good", rules).groupBy("stratum", "r.rule", "good", step.alias("step")).agg(F.count("*").alias("n")).collect()
+    strata: dict[tuple[str | None, str], dict[bool, Counter]] = {}
     for row in counts:
-        strata.setdefault((row["stratum"], row["rule"]), Counter())[row["step"]] += row["n"]
+        strata.setdefault((row["stratum"], row["rule"]), {True: Counter(), False: Counter()})[row["good"]][row["step"]] += row["n"]
     cutoffs = {}
-    for key, steps in strata.items():
-        n, beyond, total = sum(steps.values()), [], 0
-        for position in range(len(GRID)):
-            # beyond GRID[position] = (199 - position) / 200 are the values whose step is at least 199 - position
-            total = sum(c for step, c in steps.items() if step >= len(GRID) - position)
-            beyond.append(total)
-        position = choose(beyond, n, risk, level / len(strata))
+    for key, sides in strata.items():
+        good, bad = ([sum(c for step, c in sides[side].items() if step >= len(GRID) - position) for position in range(len(GRID))] for side in (True, False))
+        position = choose(good, bad, sum(sides[True].values()), risk, level / len(strata))
         if position is not None:
             cutoffs[key] = GRID[position]
     return cutoffs

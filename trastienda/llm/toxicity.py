@@ -2,7 +2,8 @@
 
 Tokens are hashed into a fixed number of slots. From labelled documents each slot gets the
 log-odds of toxic against other text, with a Dirichlet prior in proportion to the slot's
-overall frequency, shrunk by its standard error. Scores are shifted down by a drift so that
+overall frequency, shrunk by its standard error. A document counts once for each of its
+slots, since a word that one document repeats tells no more than that document. Scores are shifted down by a drift so that
 ordinary text loses; then every significant passage is a maximal scoring segment,
 and one scan finds them all (Ruzzo and Tompa). Chance makes segments too: their scores follow
 an extreme value law whose two parameters come from the score frequencies of other text
@@ -32,10 +33,11 @@ from trastienda.llm.common import text_of
 
 #: Slots of token weights; what is collected, broadcast and held in a task is bounded by it.
 SLOTS = 1 << 18
-PRIOR = 500.0
-#: Standard errors that a log-odds ratio must exceed to count.
-SHRINK = 3.0
-DRIFT = 1.0
+#: Weight of the prior as a part of all counts.
+PRIOR = 0.01
+#: Standard errors that a log-odds ratio is shrunk by.
+SHRINK = 1.0
+DRIFT = 2.0
 #: Expected number of such segments by chance in a text, at most.
 E_VALUE = 0.01
 #: Evidence is counted in steps of half a unit up to 200.
@@ -65,52 +67,50 @@ class Slots(dict):
         return np.fromiter(map(self.__getitem__, TOKEN.findall(text.lower())), "int32")
 
 
-def count_slots(labelled: DataFrame) -> np.ndarray:
-    """Tokens by label and slot, from (text, toxic); each task adds up its own before the shuffle."""
+def count_slots(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(documents, tokens) by label and slot, from (text, toxic); each task adds up its own before the shuffle."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots, counts = Slots(), np.zeros((2, SLOTS), "int64")
+        slots, counts = Slots(), np.zeros((2, 2, SLOTS), "int64")
         for batch in batches:
             for text, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                counts[toxic] += np.bincount(slots.of(text.as_py()), minlength=SLOTS)
-        label, slot = np.nonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(label.astype("int32")), pa.array(slot.astype("int32")), pa.array(counts[label, slot])], ["label", "slot", "n"])
+                slot, tokens = np.unique(slots.of(text.as_py()), return_counts=True)
+                counts[0, toxic, slot] += 1
+                counts[1, toxic, slot] += tokens
+        label, slot = np.nonzero(counts[0])
+        names = ["label", "slot", "docs", "tokens"]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (label.astype("int32"), slot.astype("int32"), counts[0, label, slot], counts[1, label, slot])], names)
 
     source = labelled.select(text_of().alias("text"), F.col("toxic").cast("int").alias("toxic"))
-    found = source.mapInArrow(scan, "label int, slot int, n long").groupBy("label", "slot").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros((2, SLOTS))
-    counts[found["label"].to_numpy(), found["slot"].to_numpy()] = found["n"].to_numpy()
-    return counts
+    sums = source.mapInArrow(scan, "label int, slot int, docs long, tokens long").groupBy("label", "slot").agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
+    found = sums.toPandas()
+    out = np.zeros((2, 2, SLOTS))
+    for k, name in enumerate(("docs", "tokens")):
+        out[k, found["label"].to_numpy("int64"), found["slot"].to_numpy("int64")] = found[name].to_numpy("float64")
+    return out[0], out[1]
 
 
-def weigh(counts: np.ndarray) -> tuple[np.ndarray, float, float]:
+def weigh(docs: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, float, float]:
     """(score of each slot, lambda, K)."""
-    total = counts.sum()
-    if not counts[1].sum() or not counts[0].sum():
-        return np.full(len(counts[0]), -DRIFT), 1.0, 1.0
-    prior = PRIOR * counts.sum(axis=0) / total
+    if not docs[1].sum() or not docs[0].sum():
+        return np.full(SLOTS, -DRIFT), 1.0, 1.0
+    prior = PRIOR * docs.sum(axis=0)
     some = prior > 0
-    odds = np.zeros(len(prior))
-    error = np.full(len(prior), np.inf)
-    sides = [counts[k] + prior for k in (0, 1)]
+    sides = [docs[k][some] + prior[some] for k in (0, 1)]
     whole = [side.sum() for side in sides]
-    odds[some] = np.log(sides[1][some] / (whole[1] - sides[1][some])) - np.log(sides[0][some] / (whole[0] - sides[0][some]))
-    error[some] = np.sqrt(1 / sides[0][some] + 1 / sides[1][some])
-    scores = np.sign(odds) * np.maximum(np.abs(odds) - SHRINK * np.where(np.isfinite(error), error, 1e9), 0.0) - DRIFT
-    share = (counts[0] + 1e-9) / (counts[0] + 1e-9).sum()
-    # the positive root of E[exp(lambda s)] = 1
-    low, high = 0.0, 50.0
-    if scores.max() > 0:
-        for _ in range(100):
-            middle = (low + high) / 2
-            value = np.log(share[share > 0]) + middle * scores[share > 0]
-            if np.exp(value - value.max()).sum() * math.exp(min(value.max(), 700)) < 1:
-                low = middle
-            else:
-                high = middle
-    decay = max((low + high) / 2, 1e-3)
-    positive = share[scores > 0].sum()
-    return scores, decay, max(float(positive), 1e-9)
+    odds = np.log(sides[1] / (whole[1] - sides[1])) - np.log(sides[0] / (whole[0] - sides[0]))
+    error = np.sqrt(1 / sides[0] + 1 / sides[1])
+    scores = np.full(SLOTS, -DRIFT)
+    scores[some] += np.sign(odds) * np.maximum(np.abs(odds) - SHRINK * error, 0.0)
+    share = tokens[0] / tokens[0].sum()
+    seen = share > 0
+    # lambda is the positive root of E[exp(lambda s)] = 1 over the tokens of other text
+    low, high = 1e-3, 50.0
+    for _ in range(100):
+        middle = (low + high) / 2
+        terms = np.log(share[seen]) + middle * scores[seen]
+        low, high = (middle, high) if terms.max() < 0 and np.exp(terms).sum() < 1 else (low, middle)
+    return scores, low, max(float(share[scores > 0].sum()), 1e-9)
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -194,8 +194,7 @@ def monotone(counts: np.ndarray, toxic: np.ndarray) -> np.ndarray:
 def learn(labelled: DataFrame) -> Model:
     """From rows with text and toxic (0 or 1): weights, chance law and the calibration of the evidence."""
     rows = labelled.where("toxic IN (0, 1)")
-    counts = count_slots(rows)
-    raw = Model(*weigh(counts), np.zeros(STEPS + 1))
+    raw = Model(*weigh(*count_slots(rows)), np.zeros(STEPS + 1))
     seen = scan_evidence(rows, raw, F.col("toxic").cast("int"))
     steps = seen.groupBy("key", F.least(F.floor(F.col("evidence") * 2), F.lit(STEPS)).alias("step")).count().collect()
     by = np.zeros((2, STEPS + 1))
