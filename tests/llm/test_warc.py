@@ -1,5 +1,4 @@
 import hashlib
-import io
 import random
 import zlib
 
@@ -77,7 +76,7 @@ def test_magic_bytes_that_are_no_record():
     junk = b"".join(warc.MAGIC + rng.randbytes(rng.randrange(50)) for _ in range(50)) + zlib.compress(b"WARC/1.1\r\n\r\n", wbits=31) + zlib.compress(b"not a record", wbits=31)
     member = warc.record(1, "u", b"payload", 7, hashlib.sha1(b"payload").hexdigest(), None)
     data = junk + member + member[:20]
-    hits = list(warc.records_in(pa.PythonFile(io.BytesIO(data)), 0, len(data), len(data)))
+    hits = list(warc.records_in(pa.BufferReader(data), 0, len(data), len(data)))
     assert [position for position, _, _ in hits] == [len(junk)] and hits[0][2].endswith(b"\r\n\r\npayload")
 
 

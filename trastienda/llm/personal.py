@@ -39,7 +39,7 @@ MIN_DIGITS = 5
 FOUND = "found"
 ROUNDS = 3
 #: A pattern is trusted from this mean confidence on, and from so many distinct values that are believed.
-TRUST, SUPPORT = 0.9, 4
+TRUST, SUPPORT = 0.75, 4
 
 
 def _digits(value: Column) -> Column:
