@@ -108,11 +108,12 @@ def exact_dedup(spark: SparkSession, path: str, state: str | None = None, digest
     retained = hits.where(F.col("place") == F.col("last_place")).select("digest", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"), F.col("text").alias("bytes"))
     dealt = hits.withColumn("part", F.pmod(F.xxhash64("place"), parts))
     compared = settle(
-        dealt.join(retained, ["digest", "part"]).select("digest", "doc_id", "place", "last_id", "last_place", "n", F.when(F.col("text") != F.col("bytes"), F.col("text")).alias("other"))
+        dealt.join(retained, ["digest", "part"]).select("digest", "part", "doc_id", "place", "last_id", "last_place", "n", F.when(F.col("text") != F.col("bytes"), F.col("text")).alias("other"))
     )
     same, clash = compared.where("other IS NULL"), compared.where("other IS NOT NULL")
-    lost = clash.groupBy("digest").agg(F.count("*").alias("lost"))
-    same = same.join(lost, "digest", "left").select(
+    lost = clash.groupBy("digest", "n").agg(F.count("*").alias("lost"))
+    lost = lost.select("digest", "lost", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
+    same = same.join(lost, ["digest", "part"], "left").select(
         "doc_id", "place", F.col("last_id").alias("keep_id"), (F.col("n") - F.coalesce("lost", F.lit(0))).alias("group_size"), (F.col("place") == F.col("last_place")).alias("kept"), "digest"
     )
     classes = clash.groupBy("digest", "other").agg(F.count("*").alias("group_size"), _last().alias("last"))
