@@ -22,7 +22,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trastienda.llm.common import text_of
@@ -47,10 +47,10 @@ class Dictionaries(NamedTuple):
 
 
 def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> Dictionaries:
-    """Dictionaries from (text, lang): of each language the documents with the smallest hashes, a stretch of each."""
+    """Dictionaries from (text, lang): of each language the documents with the smallest hash of a bucket, a stretch of each."""
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(LETTER)).select("lang", "text", F.xxhash64("text").alias("deal"))
-    first = Window.partitionBy("lang").orderBy("deal")
-    chosen = rows.select("lang", "deal").distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= sample_docs).drop("n")
+    # the smallest hash of each bucket, so that tasks pass on no more than the sample's size
+    chosen = rows.groupBy("lang", F.pmod("deal", F.lit(sample_docs)).alias("bucket")).agg(F.min("deal").alias("deal")).drop("bucket")
     begin = F.pmod("deal", F.greatest(F.length("text") - sample_chars, F.lit(0)).cast("long") + 1).cast("int") + 1
     stretch = F.col("text").substr(begin, F.lit(sample_chars)).alias("stretch")
     found = rows.join(chosen, ["lang", "deal"]).select("lang", "deal", stretch).distinct().orderBy("lang", "deal", "stretch").collect()
