@@ -1,6 +1,7 @@
 """Every broken assumption must be found by the check that watches it."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import small_shop
 from trastienda.plans.build import Run, raw_tables, staging_tables
@@ -26,6 +27,10 @@ def order(i, **changes):
     return lambda shop: shop["orders"][i].update(changes)
 
 
+def product(i, **changes):
+    return lambda shop: shop["erp"]["catalogo"]["productos"][i].update(changes)
+
+
 def stock(value):
     return lambda shop: shop["erp"]["snapshots"][0].update(cantidad_en_stock=value)
 
@@ -36,7 +41,7 @@ def repeated_cost(shop):
 
 
 def without_rate(shop):
-    shop["fx"] = [r for r in shop["fx"] if (r["fecha"], r["currency"]) != ("2025-05-06", "USD")]
+    shop["fx"] = [r for r in shop["fx"] if (r["fecha"], r["currency"]) != ("2023-11-15", "USD")]
 
 
 BROKEN = {
@@ -47,19 +52,33 @@ BROKEN = {
     "fractional stock": (stock(2.5), "stock_valores_validos"),
     "missing stock": (stock(None), "stock_valores_validos"),
     "mapping to another number": (
-        lambda shop: shop["erp"]["sku_mappings"][0].update(sku_erp=small_shop.erp(4)), "mapeo_explicito_mismo_numero",
+        lambda shop: shop["erp"]["sku_mappings"][0].update(sku_erp=small_shop.erp(14)), "mapeo_explicito_mismo_numero",
     ),
-    "handle of another name": (order(0, product_handle="termo-grande-002"), "ecommerce_handle_coincide_con_nombre"),
+    "handle of another name": (order(0, product_handle="molino-grande-014"), "ecommerce_handle_coincide_con_nombre"),
     "missing snapshot day": (lambda shop: shop["erp"]["snapshots"].pop(10), "snapshots_grilla_completa"),
     "missing rate": (without_rate, "fx_cobertura"),
     "product outside the catalogue": (pos(0, sku="CN-00099"), "pos_sku_en_catalogo"),
-    "repeated sale id": (pos(1, venta_id="V01"), "pos_venta_id_unico"),
+    "repeated sale id": (pos(1, venta_id="A01"), "pos_venta_id_unico"),
     "store sale in dollars": (pos(0, moneda="USD"), "pos_moneda_mxn"),
     "decimal comma": (pos(0, monto="22,00"), "pos_campos_parseables"),
-    "short time stamp": (pos(0, fecha_hora="2025-3-15 10:00:00"), "pos_campos_parseables"),
+    "short time stamp": (pos(0, fecha_hora="2023-7-20 10:15:00"), "pos_campos_parseables"),
     "new currency": (order(0, currency="CAD"), "ecommerce_moneda_conocida"),
     "unknown store": (pos(0, tienda_id="T999"), "tiendas_en_erp"),
     "repeated cost date": (repeated_cost, "costos_sin_fechas_repetidas"),
+    "sale of nothing": (pos(0, cantidad="0"), "pos_cantidad_y_monto_positivos"),
+    "order without a moment": (order(0, fecha="soon"), "ecommerce_campos_parseables"),
+    "repeated order id": (order(1, order_id="W-1"), "ecommerce_order_id_unico"),
+    "order below zero": (order(0, amount=-1.0), "ecommerce_cantidad_y_monto_positivos"),
+    "rate of zero": (lambda shop: shop["fx"][0].update(rate_to_mxn="0"), "fx_parseable_y_positivo"),
+    "repeated rate": (lambda shop: shop["fx"].append(shop["fx"][0]), "fx_llave_unica"),
+    "snapshot without a date": (lambda shop: shop["erp"]["snapshots"][0].update(fecha="June"), "snapshots_parseables"),
+    "repeated snapshot": (lambda shop: shop["erp"]["snapshots"].append(shop["erp"]["snapshots"][0]), "snapshots_llave_unica"),
+    "catalogue key of another form": (product(4, sku_erp="PROV-15"), "catalogo_sku_formato"),
+    "two catalogue keys of a number": (product(4, sku_erp="ERP-PROV-MX-014-Z"), "catalogo_numero_unico"),
+    "cost below zero": (lambda shop: shop["erp"]["catalogo"]["productos"][0]["cost_history"][0].update(costo_mxn=-1), "costos_parseables_y_positivos"),
+    "code mapped twice": (lambda shop: shop["erp"]["sku_mappings"].append(shop["erp"]["sku_mappings"][0]), "mapeo_sku_pos_unico"),
+    "mapped handle of another name": (lambda shop: shop["erp"]["sku_mappings"][1].update(handle="taza-lisa-012"), "mapeo_handle_coincide_con_nombre"),
+    "snapshot of an unknown product": (lambda shop: shop["erp"]["snapshots"][0].update(sku_erp="ERP-PROV-MX-099-Q"), "snapshots_sku_en_catalogo"),
 }
 
 
@@ -71,6 +90,22 @@ def test_broken_assumption_is_found(spark, tmp_path, name):
     assert check in failed(spark, data, tmp_path / "in")
 
 
+@pytest.mark.parametrize("name", checks.RAW_COUNTS)
+def test_lost_raw_rows_are_found(spark, tmp_path, name):
+    raw = raw_tables(spark, SourceFiles(small_shop.deliver(small_shop.shop(), tmp_path / "in")))
+    table = checks.RAW_COUNTS[name][0]
+    counted = checks.raw_counts({**raw, table: raw[table].limit(1)})
+    assert {o.check.name for o in evaluate(counted, [c for c in checks.CHECKS if c.name in checks.RAW_COUNTS]) if not o.passed} == {name}
+
+
+def test_two_codes_of_a_number_are_found(spark, tmp_path):
+    raw = raw_tables(spark, SourceFiles(small_shop.deliver(small_shop.shop(), tmp_path / "in")))
+    staged = staging_tables(spark, raw)
+    staged["stg.pos_sales"] = staged["stg.pos_sales"].withColumn("sku_pos", F.concat("sku_pos", F.lit("-"), F.col("store_id")))
+    outcomes = evaluate(checks.staging_measures({**raw, **staged}), checks.checks_of(checks.STAGING))
+    assert "pos_sku_texto_unico_por_numero" in {o.check.name for o in outcomes if not o.passed}
+
+
 def test_nothing_fails_on_the_intact_shop(spark, tmp_path):
     assert failed(spark, small_shop.shop(), tmp_path / "in") == set()
 

@@ -1,4 +1,4 @@
-"""Single operators against brute force, including the paths for data too large to broadcast."""
+"""Single operators against brute force, with tables that are broadcast and tables that are not."""
 
 import json
 import random
@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from trastienda.functions.stats import exact_median
 from trastienda.functions import stats
-from trastienda.operators.lookup import lookup, split_hot_keys
+from trastienda.operators.lookup import lookup
 from trastienda.operators.ranking import top_per_group
 from trastienda.operators.runs import zero_runs
-from trastienda.operators.validity import validity_intervals
+from trastienda.operators.validity import asof, validity_intervals
 from trastienda.plans import core, evidence, staging
 from trastienda.sources import erp, totals
 from trastienda.star.roles import Star
@@ -76,36 +76,85 @@ def skewed_facts(spark):
     return spark.range(3000).select("id", key.cast("int").alias("k"))
 
 
-def test_hot_keys_apart_equals_a_plain_left_join(spark):
-    facts = skewed_facts(spark)
+@pytest.fixture()
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def looked_up(spark):
     dim = spark.range(150).select(F.col("id").cast("int").alias("k"), (F.col("id") * 10).alias("v"))
-    plain = as_rows(facts.join(dim, "k", "left"))
-    assert as_rows(split_hot_keys(facts, dim, ["k"], hot_key_slots=20)) == plain
-    assert as_rows(split_hot_keys(facts, dim, ["k"], hot_key_slots=100_000)) == plain
-    assert as_rows(lookup(facts, dim, ["k"])) == plain
-    assert as_rows(lookup(facts, dim, ["k"], broadcast_rows=10)) == plain
+    return lookup(skewed_facts(spark), dim, ["k"])
 
 
-def test_hot_key_rows_are_not_shuffled_by_key(spark):
-    """Only the counting and the cold rows go through an exchange on the key."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_lookup_means_the_same_shuffled_and_broadcast(spark, no_broadcast):
+    shuffled = looked_up(spark)
+    assert "SortMergeJoin" in shuffled._jdf.queryExecution().executedPlan().toString()
+    expected = [(k, i, k * 10 if k is not None and k < 150 else None) for i, k in [tuple(r) for r in skewed_facts(spark).collect()]]
+    assert as_rows(shuffled, "k", "id", "v") == sorted(expected, key=repr)
+
+
+def test_lookup_broadcasts_a_small_table(spark):
+    assert "BroadcastHashJoin" in looked_up(spark)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_hot_key_is_split(spark, no_broadcast):
+    """A third of the rows share a key; at run time their partition is read in several tasks."""
+    sizes = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2", "spark.sql.shuffle.partitions": "40"}
+    before = {k: spark.conf.get(k) for k in sizes}
+    for k, v in sizes.items():
+        spark.conf.set(k, v)
     try:
-        facts = skewed_facts(spark)
-        dim = spark.range(150).select(F.col("id").cast("int").alias("k"), (F.col("id") * 10).alias("v"))
-        joined = split_hot_keys(facts, dim, ["k"], hot_key_slots=20)
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in plan and "BroadcastHashJoin" in plan
-        assert joined.count() == 3000
+        facts = skewed_facts(spark).repartition(8)
+        dim = spark.range(200).select(F.col("id").cast("int").alias("k"), F.col("id").alias("v"))
+        joined = lookup(facts, dim, ["k"])
+        assert len(joined.collect()) == 3000
+        assert "SortMergeJoin(skew=true)" in joined._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
 
+def repeated(spark):
+    """Sales, and costs whose keys and start days repeat, with an interval that holds no day."""
+    sales = [(1, date(2024, 1, d % 28 + 1)) if d % 3 == 0 else (d % 5 if d % 7 else None, date(2024, 2, d % 28 + 1)) for d in range(90)]
+    costs = [
+        (1, date(2024, 1, 1), date(2024, 1, 20), 1.0), (1, date(2024, 1, 10), date(9999, 12, 31), 2.0), (1, date(2024, 1, 10), date(2024, 1, 9), 9.0),
+        (2, date(2024, 2, 5), date(2024, 2, 6), 3.0), (2, date(2024, 2, 6), date(2024, 2, 8), 4.0), (None, date(2024, 1, 1), date(2024, 3, 1), 7.0),
+    ]
+    expected = []
+    for k, d in sales:
+        held = [c for key, a, b, c in costs if key == k and k is not None and a <= d <= b]
+        expected += [(k, d, c) for c in held or [None]]
+    frames = spark.createDataFrame(sales, "k INT, d DATE"), spark.createDataFrame(costs, "k INT, valid_from DATE, valid_to DATE, cost DOUBLE")
+    return asof(*frames, "k", "d"), sorted(expected, key=repr)
 
-def test_both_cost_paths_agree(spark):
+
+def test_every_interval_that_holds_the_day_is_a_row(spark):
+    found, expected = repeated(spark)
+    assert as_rows(found, "k", "d", "cost") == expected
+
+
+def test_and_so_it_is_without_a_broadcast(spark, no_broadcast):
+    found, expected = repeated(spark)
+    assert "SortMergeJoin" in found._jdf.queryExecution().executedPlan().toString()
+    assert as_rows(found, "k", "d", "cost") == expected
+
+
+def test_large_and_small_cost_tables_give_the_same_facts(spark):
     star = Star(spark, SF)
-    small = core.with_product(star.lines, star.dim_product, star.costs, star.products, small=True)
-    large = core.with_product(star.lines, star.dim_product, star.costs, star.products, small=False)
-    assert small.count() == star.lines.count()
-    assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0
+    small = core.with_product(star.lines, star.dim_product, star.costs, star.products)
+    rows = as_rows(small)
+    assert len(rows) == star.lines.count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        star = Star(spark, SF)
+        assert as_rows(core.with_product(star.lines, star.dim_product, star.costs, star.products)) == rows
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_cost_on_the_edges_of_an_interval(spark):
@@ -138,9 +187,9 @@ def test_top_per_group_breaks_ties_and_prunes_before_the_shuffle(spark):
 
 
 @pytest.mark.parametrize("size", [1, 2, 9, 1000, 1001])
-@pytest.mark.parametrize("whole", [100_000, 0])
-def test_exact_median(spark, monkeypatch, size, whole):
-    monkeypatch.setattr(stats, "WHOLE_RANGE_ROWS", whole if size > 100 else 100_000)
+@pytest.mark.parametrize("cells", [1, 7, 1000])
+def test_exact_median(spark, monkeypatch, size, cells):
+    monkeypatch.setattr(stats, "CELLS", cells)
     monkeypatch.setattr(stats, "SKETCH_ACCURACY", 50)
     pick = random.Random(size)
     values = [float(pick.randint(0, 400)) for _ in range(size)]

@@ -31,8 +31,9 @@ def slug(name: Column) -> Column:
 
 
 def expected_handle(name_slug: Column, number: Column, digits: int = 3) -> Column:
-    """The web handle a product must have: its slug and its zero-padded number."""
-    return F.concat(name_slug, F.lit("-"), F.lpad(number.cast("string"), digits, "0"))
+    """The web handle a product must have: its slug and its number, with zeros up to `digits`; longer numbers stay whole."""
+    text = number.cast("string")
+    return F.concat(name_slug, F.lit("-"), F.lpad(text, F.greatest(F.length(text), F.lit(digits)), F.lit("0")))
 
 
 def differs(left: Column, right: Column) -> Column:

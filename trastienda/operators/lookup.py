@@ -1,63 +1,15 @@
-"""Attach a lookup table with unique keys to a large table."""
+"""Attach a lookup table to a large table."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-BROADCAST_ROWS = 200_000
-HOT_KEY_SLOTS = 1_000
-
-
-def is_small(frame: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a table of narrow rows can be broadcast, by its actual row count."""
-    return frame.count() <= rows
-
-
-def lookup(
-    facts: DataFrame,
-    dim: DataFrame,
-    on: list[str],
-    sized_by: DataFrame | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
-    hot_key_slots: int = HOT_KEY_SLOTS,
-) -> DataFrame:
-    """Left join to a table with one narrow row per key.
-
-    The table is counted first, or `sized_by` in its place: a table with at least
-    as many rows that is cheaper to count. Up to `broadcast_rows` rows it is
-    broadcast and the facts are not shuffled; a larger one is joined with its hot
-    keys apart.
-    """
-    if is_small(dim if sized_by is None else sized_by, broadcast_rows):
-        return facts.join(F.broadcast(dim), on, "left")
-    return split_hot_keys(facts, dim, on, hot_key_slots)
 
 
-def split_hot_keys(
-    facts: DataFrame, dim: DataFrame, on: list[str], hot_key_slots: int = HOT_KEY_SLOTS
-) -> DataFrame:
-    """Left join that keeps every fact row and lets no single key fill a task.
+def lookup(facts: DataFrame, dim: DataFrame, on: list[str]) -> DataFrame:
+    """Left join, with one meaning for every size of the table.
 
-    A key is hot when it holds more than 1 / `hot_key_slots` of the rows, so there
-    are fewer than `hot_key_slots` of them: their lookup rows are broadcast. All
-    other rows take the shuffled join. Rows with a NULL key match nothing and skip
-    the shuffle.
+    Nothing is counted beforehand: once the table's bytes are known at run time, a small
+    one is broadcast and the facts stay where they are; with a large one both sides are
+    shuffled, and partitions of the facts that a hot key (or NULL) makes large are split.
     """
-    rows = facts.agg(F.count("*")).scalar()
-    has_key = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on])
-    hot_keys = (
-        facts.where(has_key)
-        .groupBy(*on)
-        .agg(F.count("*").alias("_rows"))
-        .where(F.col("_rows") * F.lit(hot_key_slots) > rows)
-        .select(*on, F.lit(True).alias("_hot"))
-    )
-    marked = facts.join(F.broadcast(hot_keys), on, "left")
-    apart = F.coalesce(F.col("_hot"), F.lit(False)) | ~has_key
-    hot_dim = dim.join(F.broadcast(hot_keys.drop("_hot")), on, "left_semi")
-    hot = marked.where(apart).drop("_hot").join(F.broadcast(hot_dim), on, "left")
-    rest = marked.where(~apart).drop("_hot").join(dim, on, "left")
-    return hot.unionByName(rest)
+    return facts.join(dim, on, "left")

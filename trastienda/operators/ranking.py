@@ -28,9 +28,10 @@ def ranking_overlap(top: DataFrame, group: str, item: str, base: str) -> DataFra
     lists = top.groupBy(group).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("rank", item))), lambda r: r[item]).alias("ranking")
     )
-    base_list = lists.where(F.col(group) == base).select("ranking").scalar()
+    # the lists are one row per variant, so one window holds them all
+    all_lists = Window.partitionBy(F.lit(1))
     return (
-        lists.withColumn("_base", base_list)
+        lists.withColumn("_base", F.max(F.when(F.col(group) == base, F.col("ranking"))).over(all_lists))
         .where(F.col("_base").isNotNull())
         .select(
             group,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trastienda.functions.dates import OPEN_END
@@ -20,27 +20,12 @@ def validity_intervals(frame: DataFrame, key: str, valid_from: str) -> DataFrame
     )
 
 
-def asof_small(facts: DataFrame, intervals: DataFrame, key: str, day: str) -> DataFrame:
-    """Left join to the interval of the key that holds the day; for intervals small enough to broadcast."""
-    held = intervals.select(F.col(key).alias("_key"), *[c for c in intervals.columns if c != key])
-    matches = (F.col(key) == F.col("_key")) & F.col(day).between(F.col("valid_from"), F.col("valid_to"))
-    return facts.join(F.broadcast(held), matches, "left").drop("_key", "valid_from", "valid_to")
-
+def asof(facts: DataFrame, intervals: DataFrame, key: str, day: str) -> DataFrame:
+    """Left join to every interval of the key that holds the day.
 
-def price_book(costs: DataFrame, key: str) -> DataFrame:
-    """One row per key with its cost intervals, for costs too many to broadcast.
-
-    Intervals of a key do not overlap and start on different days, so a list is
-    bounded by the calendar. Intervals that end before they start match no day.
+    Sources with repeated keys or dates may give several; each is a row, whichever way the
+    join is carried out. Intervals that end before they start hold no day.
     """
-    return (
-        costs.where(F.col("valid_from") <= F.col("valid_to"))
-        .groupBy(key)
-        .agg(F.collect_list(F.struct("valid_from", "valid_to", "unit_cost_mxn")).alias("cost_intervals"))
-    )
-
-
-def cost_on(day: Column, intervals: Column) -> Column:
-    """The cost whose interval holds the day, NULL if none does."""
-    held = F.filter(intervals, lambda i: day.between(i["valid_from"], i["valid_to"]))
-    return F.get(held, F.lit(0))["unit_cost_mxn"]
+    held = intervals.where(F.col("valid_from") <= F.col("valid_to")).select(F.col(key).alias("_key"), *[c for c in intervals.columns if c != key])
+    matches = (F.col(key) == F.col("_key")) & F.col(day).between(F.col("valid_from"), F.col("valid_to"))
+    return facts.join(held, matches, "left").drop("_key", "valid_from", "valid_to")

@@ -25,6 +25,7 @@ from trastienda.sources.files import (
     require_sources,
 )
 from trastienda.sources.lake import Lake
+from trastienda.sources.settle import settle
 
 Tables = dict[str, DataFrame]
 RESULTS, EVIDENCE = "quality_results", "assumption_metrics"
@@ -36,22 +37,24 @@ def raw_tables(spark: SparkSession, files: SourceFiles) -> Tables:
     """Source tables as they are, and control totals and a manifest taken from the files."""
     pos, fx, export = files.path("pos"), files.path("fx"), files.path("erp")
     orders = read_orders(spark, files.path("ecommerce"))
+    # parsed once; blocks are unnested from the stored columns
+    documents = settle(erp.read_documents(spark, export))
     control = (
         totals.pos_totals(totals.read_lines(spark, pos))
         .unionByName(totals.order_totals(orders))
         .unionByName(totals.fx_totals(totals.read_lines(spark, fx), ",".join(FX_COLUMNS)))
-        .unionByName(totals.erp_totals(erp.read_documents(spark, export, "tiendas_info", "sku_mappings", "catalogo", "snapshots")))
+        .unionByName(totals.erp_totals(documents))
     )
     return {
         "raw.pos_sales": read_text_csv(spark, pos, POS_COLUMNS),
         "raw.fx_rates": read_text_csv(spark, fx, FX_COLUMNS),
         "raw.ecommerce_orders": orders,
-        "raw.erp_stores": erp.stores(erp.read_documents(spark, export, "tiendas_info")),
-        "raw.erp_sku_mappings": erp.sku_mappings(erp.read_documents(spark, export, "sku_mappings")),
-        "raw.erp_products": erp.products(erp.read_documents(spark, export, "catalogo")),
-        "raw.erp_cost_history": erp.cost_history(erp.read_documents(spark, export, "catalogo")),
-        "raw.erp_snapshots": erp.snapshots(erp.read_documents(spark, export, "snapshots")),
-        "raw.erp_metadata": erp.metadata(erp.read_documents(spark, export, "metadata")),
+        "raw.erp_stores": erp.stores(documents),
+        "raw.erp_sku_mappings": erp.sku_mappings(documents),
+        "raw.erp_products": erp.products(documents),
+        "raw.erp_cost_history": erp.cost_history(documents),
+        "raw.erp_snapshots": erp.snapshots(documents),
+        "raw.erp_metadata": erp.metadata(documents),
         "raw.source_totals": control,
         "raw.source_files": file_manifest(spark, {s: files.path(s) for s in files.names}),
     }

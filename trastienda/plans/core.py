@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from trastienda.functions.amounts import DERIVED, RATE
 from trastienda.functions.dates import month_of, quarter_of
 from trastienda.functions.literals import fixed_table
-from trastienda.operators.lookup import is_small, lookup, split_hot_keys
-from trastienda.operators.validity import asof_small, cost_on, price_book
+from trastienda.operators.lookup import lookup
+from trastienda.operators.validity import asof
 
 # Channels, sources, provenance labels and the native currency.
 PHYSICAL, ONLINE, ONLINE_DOC_TYPE = "fisico", "ecommerce", "shopify"
@@ -200,30 +200,13 @@ def cost_intervals(cost_history: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def with_product(
-    lines: DataFrame,
-    dim_product: DataFrame,
-    cost_history: DataFrame,
-    products: DataFrame,
-    small: bool | None = None,
-) -> DataFrame:
+def with_product(lines: DataFrame, dim_product: DataFrame, cost_history: DataFrame, products: DataFrame) -> DataFrame:
     """Add link provenance, the cost valid on the sale day, and the margin.
 
-    Catalogue and cost intervals are counted first. If both are small they are
-    broadcast and the lines are not shuffled. Otherwise the intervals become one
-    list per product, and a single join with its hot keys apart brings both.
+    Both joins are on the product number, so large tables are shuffled once for the two.
     """
-    if small is None:
-        small = is_small(products) and is_small(cost_history)
     links = dim_product.select("sku_num", "pos_erp_link_source", "handle_link_source")
-    costs = cost_intervals(cost_history, products)
-    if small:
-        linked = lines.join(F.broadcast(links), "sku_num", "left")
-        costed = asof_small(linked, costs, "sku_num", "sale_date")
-    else:
-        product = links.join(price_book(costs, "sku_num"), "sku_num", "left")
-        linked = split_hot_keys(lines, product, ["sku_num"])
-        costed = linked.withColumn("unit_cost_mxn", cost_on(F.col("sale_date"), F.col("cost_intervals")))
+    costed = asof(lookup(lines, links, ["sku_num"]), cost_intervals(cost_history, products), "sku_num", "sale_date")
     link = F.when(F.col("channel") == PHYSICAL, F.col("pos_erp_link_source")).otherwise(F.col("handle_link_source"))
     cost = F.col("qty_net") * F.col("unit_cost_mxn")
     return costed.select(

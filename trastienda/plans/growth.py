@@ -98,27 +98,32 @@ def monthly_variants(
 
 
 def mom_growth(variants: DataFrame) -> DataFrame:
-    """The principal series, and their total where both channels are known."""
-    columns = ["channel", "month", "sales_mxn", "prev_sales_mxn", "mom_growth_pct", "growth_note"]
-    principal = variants.where(F.col("variant") == PRINCIPAL)
+    """The principal series, and their total where both channels are known, from one reading of the series."""
+    each = variants.where(F.col("variant") == PRINCIPAL).select(
+        F.explode(F.array(F.col("channel"), F.lit(TOTAL_CHANNEL))).alias("channel"),
+        "month",
+        "sales_mxn",
+        "prev_sales_mxn",
+        "mom_growth_pct",
+        "growth_note",
+    )
+    is_total = F.col("channel") == TOTAL_CHANNEL
+    needed = F.when(is_total, 2).otherwise(1)
 
-    def of_both(name: str) -> Column:
-        return F.when(F.count(name) == 2, F.sum(name)).alias(name)
+    def of_all(name: str) -> Column:
+        return F.when(F.count(name) == needed, F.sum(name)).alias(name)
 
     now, before = F.col("sales_mxn"), F.col("prev_sales_mxn")
-    total = (
-        principal.groupBy("month")
-        .agg(of_both("sales_mxn"), of_both("prev_sales_mxn"))
+    note = F.when(now.isNull() | before.isNull(), CHANNEL_UNCOVERED).when(before == 0, ZERO_BASE).otherwise(FINE)
+    return (
+        each.groupBy("channel", "month")
+        .agg(of_all("sales_mxn"), of_all("prev_sales_mxn"), F.max("mom_growth_pct").alias("own_pct"), F.max("growth_note").alias("own_note"))
         .select(
-            F.lit(TOTAL_CHANNEL).alias("channel"),
+            "channel",
             "month",
             "sales_mxn",
             "prev_sales_mxn",
-            percent_change(now, before).alias("mom_growth_pct"),
-            F.when(now.isNull() | before.isNull(), CHANNEL_UNCOVERED)
-            .when(before == 0, ZERO_BASE)
-            .otherwise(FINE)
-            .alias("growth_note"),
+            F.when(is_total, percent_change(now, before)).otherwise(F.col("own_pct")).alias("mom_growth_pct"),
+            F.when(is_total, note).otherwise(F.col("own_note")).alias("growth_note"),
         )
     )
-    return principal.select(columns).unionByName(total)

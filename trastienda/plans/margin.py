@@ -57,14 +57,19 @@ def margin_variants(by_store: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Products negative in at least one store, under three assumptions.
 
     The rounded store margins are added up, so the product figure is the sum of
-    what is published. One pass over the store table yields all variants.
+    what is published. One grouping by product yields all variants, which are unfolded after it.
     """
 
-    def reading(variant: str, margin: Column, revenue: Column) -> Column:
+    def reading(variant: str, margin: Column, revenue: Column, counts: Column | None = None) -> Column:
+        only = lambda value: value if counts is None else F.when(counts, value)
+        margin, negative = margin.cast(ROUNDED), margin.cast(ROUNDED) < 0
         return F.struct(
             F.lit(variant).alias("variant"),
-            margin.cast(ROUNDED).alias("margin_value"),
-            revenue.cast(ROUNDED).alias("revenue"),
+            F.sum(only(margin)).alias("margin"),
+            F.sum(only(revenue.cast(ROUNDED))).alias("revenue"),
+            F.count_if(only(negative)).alias("stores_negative"),
+            F.count(only(F.lit(1))).alias("stores_selling"),
+            list_of(F.col("store_id"), negative if counts is None else negative & counts).alias("negative_store_ids"),
         )
 
     explicit = ((F.col("channel") == PHYSICAL) & (F.col("pos_erp_link_source") == EXPLICIT)) | (
@@ -73,30 +78,17 @@ def margin_variants(by_store: DataFrame, dim_product: DataFrame) -> DataFrame:
     margin, revenue = F.col("margin_mxn"), F.col("revenue_mxn")
     as_published = reading(PRINCIPAL, margin, revenue)
     taxed = reading(TAX_INCLUDED, F.col("margin_mxn_if_price_includes_iva"), F.round(without_tax(revenue), 2))
-    mapped = reading(EXPLICIT_ONLY, margin, revenue)
+    mapped = reading(EXPLICIT_ONLY, margin, revenue, explicit)
     links = dim_product.select("sku_num", "handle_link_source")
-    negative = F.col("margin_value") < 0
     per_product = (
         by_store.join(links, "sku_num")
-        .select(
-            "sku_num",
-            "sku_pos",
-            "product_name",
-            "store_id",
-            F.inline(
-                F.when(explicit, F.array(as_published, taxed, mapped)).otherwise(F.array(as_published, taxed))
-            ),
-        )
-        .groupBy("variant", "sku_num")
+        .groupBy("sku_num")
         .agg(
             F.max("sku_pos").alias("sku_pos"),
             F.max("product_name").alias("product_name"),
-            F.sum("margin_value").alias("margin"),
-            F.sum("revenue").alias("revenue"),
-            F.count_if(negative).alias("stores_negative"),
-            F.count("*").alias("stores_selling"),
-            list_of(F.col("store_id"), negative).alias("negative_store_ids"),
+            F.array(as_published, taxed, mapped).alias("readings"),
         )
+        .select("sku_num", "sku_pos", "product_name", F.inline("readings"))
     )
     return per_product.where(F.col("stores_negative") > 0).select(
         "variant",
@@ -116,10 +108,18 @@ def negative_margin_products(variants: DataFrame) -> DataFrame:
 
 
 def negative_margin_by_store(by_store: DataFrame, dim_store: DataFrame) -> DataFrame:
-    """Store and product pairs sold at a loss, with the city of the store."""
+    """Store and product pairs sold at a loss, with the city of the store.
+
+    Web sales share one label that is no store; their rows are spread by product instead.
+    """
+    no_store = F.concat(F.lit("sku-"), F.col("sku_num").cast("string"))
+    place = F.when(F.col("channel") == ONLINE, no_store).otherwise(F.col("store_id"))
+    cities = dim_store.select(F.col("store_id").alias("_place"), "city")
     return (
         by_store.where(F.col("margin_mxn") < 0)
-        .join(dim_store.select("store_id", "city"), "store_id", "left")
+        .withColumn("_place", place)
+        .join(cities, "_place", "left")
+        .withColumn("city", F.when(F.col("channel") != ONLINE, F.col("city")))
         .select(
             "sku_num",
             "sku_pos",

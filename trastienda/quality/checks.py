@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from trastienda.functions.amounts import MONEY, RATE
 from trastienda.functions.dates import days_inclusive, local_timestamp, plain_date
 from trastienda.functions.keys import KeyFormats, differs, expected_handle
+from trastienda.functions.literals import fixed_table
 from trastienda.operators.reconcile import AMOUNT_TOLERANCE, totals_by_dimension, unreconciled
 from trastienda.plans.core import INVENTORY, NATIVE_CURRENCY, NO_RATE, ONLINE, PHYSICAL
 from trastienda.plans.growth import PRINCIPAL
@@ -441,7 +442,7 @@ def margin_check(tables: Tables) -> DataFrame:
         F.sum("margin_mxn").alias("margin"), F.count("*").alias("n")
     )
     apart = F.abs(F.col("margin") - in_fact) > F.lit(MARGIN_TOLERANCE).cast("decimal(10,3)") * F.col("n")
-    return measure(published, {"q4_margen_cuadra_con_fct": F.coalesce(apart, F.lit(False)).cast("int")})
+    return measure(published, {"q4_margen_cuadra_con_fct": apart.cast("int")})
 
 
 def privacy_checks(tables: Tables) -> list[DataFrame]:
@@ -449,7 +450,7 @@ def privacy_checks(tables: Tables) -> list[DataFrame]:
     hits = personal_values(outside)
     return [
         _one_row(hits, "pii_valores_fuera_de_raw", F.sum("hits")),
-        _one_row(hits, "pii_columnas_fuera_de_raw", F.lit(len(personal_columns(outside)))),
+        measure(fixed_table(hits.sparkSession, [(len(personal_columns(outside)),)], "v"), {"pii_columnas_fuera_de_raw": F.col("v")}),
     ]
 
 

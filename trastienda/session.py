@@ -30,11 +30,13 @@ def build_session(app_name: str = "trastienda", master: str | None = None, **con
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only where the cluster names none (a local run) is a folder made here.
+    Only a local run, whose executor is this process, may do without: a folder is made for it.
     """
     named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that the driver and all executors share")
     made = tempfile.mkdtemp(prefix="trastienda-")
     spark.conf.set(CHECKPOINT_DIR, made)
     return made

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 # The blocks of the export and their fields.
 BLOCKS = {
-    "metadata": "STRUCT<generado: STRING, fuente: STRING, descripcion: STRING>",
+    "metadata": "MAP<STRING, STRING>",
     "tiendas_info": "ARRAY<STRUCT<tienda_id: STRING, ciudad: STRING, region: STRING, timezone: STRING>>",
     "sku_mappings": "ARRAY<STRUCT<sku_pos: STRING, sku_erp: STRING, handle: STRING>>",
     "catalogo": (
@@ -88,4 +88,7 @@ def snapshots(documents: DataFrame) -> DataFrame:
 
 
 def metadata(documents: DataFrame) -> DataFrame:
-    return documents.where(F.col("metadata").isNotNull()).select("metadata.*")
+    """One text row per document that has the block, with a column for each key of it."""
+    present = documents.where(F.col("metadata").isNotNull())
+    keys = sorted(r[0] for r in present.select(F.explode(F.map_keys("metadata"))).distinct().collect())
+    return present.select(*[F.try_element_at("metadata", F.lit(k)).alias(k) for k in keys])

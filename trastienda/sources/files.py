@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trastienda.sources.settle import settle
+
 # The columns of the source files, all read as text.
 POS_COLUMNS = ("venta_id", "fecha_hora", "tienda_id", "sku", "cantidad", "monto", "moneda", "tipo_comprobante")
 FX_COLUMNS = ("fecha", "currency", "rate_to_mxn")
-HASH_UP_TO_BYTES = 1 << 30
+BLOCK_BYTES = 4 << 20
+MALFORMED = "_malformed"
 
 
 def text_schema(columns: tuple[str, ...]) -> str:
@@ -44,17 +52,42 @@ def require_sources(spark: SparkSession, files: SourceFiles) -> None:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    """Listing needs no schema and opens no file."""
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
+def read_text_csv(spark: SparkSession, path: str, columns: tuple[str, ...], multi_line: bool = False) -> DataFrame:
+    """A CSV with header in which every field stays text; an empty field is NULL.
+
+    With `multi_line` a quoted field may hold line breaks; each file is then read by one
+    task, so such deliveries should come in parts.
+    """
+    return _csv(spark, path, text_schema(columns), multi_line)
+
 
+def malformed_rows(spark: SparkSession, path: str, columns: tuple[str, ...], multi_line: bool = False) -> DataFrame:
+    """The rows, as they stand in the file, that have more or fewer fields than the header."""
+    # a reader that skips columns would not see how many fields a row has
+    read = _csv(spark, path, f"{text_schema(columns)}, {MALFORMED} STRING", multi_line, columnPruning=False)
+    # stored, since the reader gives a row's text only together with a field
+    return settle(read.where(F.col(MALFORMED).isNotNull()).select(columns[0], F.col(MALFORMED).alias("row")))
 
-def read_text_csv(spark: SparkSession, path: str, columns: tuple[str, ...]) -> DataFrame:
-    """A CSV with header in which every field stays text; an empty field is NULL."""
+
+def _csv(spark: SparkSession, path: str, schema: str, multi_line: bool, **options: bool) -> DataFrame:
     return (
-        spark.read.schema(text_schema(columns))
+        spark.read.schema(schema)
         .option("header", True)
         .option("escape", '"')
         .option("enforceSchema", False)
+        .option("multiLine", multi_line)
+        .option("columnNameOfCorruptRecord", MALFORMED)
+        .options(**options)
         .csv(path)
     )
 
@@ -63,22 +96,31 @@ def read_orders(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def file_manifest(spark: SparkSession, paths: dict[str, str], hash_up_to: int = HASH_UP_TO_BYTES) -> DataFrame:
+def file_manifest(spark: SparkSession, paths: dict[str, str], block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Source, file name, SHA-256 and size of every file; a folder gives one row per part.
 
-    A hash needs its file in one piece. A file above `hash_up_to` bytes is listed
-    with its size and no hash, and its content is not read.
+    Listing reads no content. Each file is hashed by one task as a stream of blocks, so that
+    a file of any size needs one block of memory.
     """
+    listed = reduce(
+        DataFrame.unionByName,
+        [spark.read.format("binaryFile").load(path).select(F.lit(source).alias("source"), "path", F.col("length").alias("bytes")) for source, path in paths.items()],
+    )
 
-    def listed(source: str, path: str) -> list[DataFrame]:
-        found = spark.read.format("binaryFile").load(path)
-        name = F.element_at(F.split("path", "/"), -1)
-        fits = F.col("length") <= hash_up_to
-        return [
-            found.where(condition).select(
-                F.lit(source).alias("source"), name.alias("file_name"), digest.alias("sha256"), F.col("length").alias("bytes")
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests = []
+            for path in batch.column("path").to_pylist():
+                system, name = fs.FileSystem.from_uri(path)
+                digest = hashlib.sha256()
+                with system.open_input_stream(name, compression=None) as content:
+                    while block := content.read(block_bytes):
+                        digest.update(block)
+                digests.append(digest.hexdigest())
+            names = [path.rsplit("/", 1)[-1] for path in batch.column("path").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("source"), pa.array(names, pa.string()), pa.array(digests, pa.string()), batch.column("bytes")],
+                ["source", "file_name", "sha256", "bytes"],
             )
-            for condition, digest in ((fits, F.sha2("content", 256)), (~fits, F.lit(None).cast("string")))
-        ]
 
-    return reduce(DataFrame.unionByName, [part for source, path in paths.items() for part in listed(source, path)])
+    return listed.mapInArrow(hashed, "source STRING, file_name STRING, sha256 STRING, bytes BIGINT")

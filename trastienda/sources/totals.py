@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from trastienda.functions.literals import fixed_table
 from trastienda.sources.files import POS_COLUMNS, text_schema
 
-VALUE = "decimal(18,4)"
+VALUE = "decimal(38,4)"
 WIDE = "decimal(38,6)"
 
 

@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trastienda.functions.amounts import COST
 from trastienda.functions.keys import expected_handle, key_number, slug
 from trastienda.functions.literals import known_values
 from trastienda.operators.reconcile import totals_by_dimension, unreconciled
+from trastienda.operators.validity import asof, validity_intervals
 from trastienda.plans import core, evidence, growth, margin, reports, rotation, staging
 from trastienda.quality import checks
 from trastienda.quality.gate import evaluate, results_frame
@@ -22,10 +24,14 @@ from trastienda.quality.privacy import personal_values
 from trastienda.sources import erp, totals
 from trastienda.sources.files import file_manifest
 from trastienda.sources.settle import settle
-from trastienda.star.roles import STAR_FORMATS, Star
+from trastienda.star.roles import STAR_FORMATS, Star, erp_key
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 RATIO_DIGITS = 6
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
 
 
 def flat(frame: DataFrame, digits: int = RATIO_DIGITS) -> DataFrame:
@@ -252,14 +258,14 @@ def key_extract(star: Star) -> DataFrame:
         F.col("c_name").alias("name"), key_number(F.col("c_name"), r"^Customer#(\d+)$", "bigint").alias("number")
     )
     suppliers = star.table("supplier").select(
-        F.col("s_name").alias("name"), key_number(F.col("s_name"), r"^Customer#(\d+)$", "bigint").alias("number")
+        F.col("s_name").alias("name"), key_number(F.col("s_name"), r"^Supplier#(\d+)$", "bigint").alias("number")
     )
     return customers.unionByName(suppliers)
 
 
 @query
 def slug_keys(star: Star) -> DataFrame:
-    """The handle each part must have; `lpad` cuts a longer number, as the key format does."""
+    """The handle each part must have; numbers are padded, never cut."""
     return star.products.select(
         "sku_num", slug(F.col("product_name")).alias("name_slug"), expected_handle(F.col("name_slug"), F.col("sku_num")).alias("handle")
     )
@@ -311,9 +317,44 @@ def control_totals(star: Star) -> DataFrame:
 
 @query
 def file_manifest_rows(star: Star) -> DataFrame:
-    """Name, hash and size of each table file."""
-    names = ("lineitem", "orders", "part", "supplier", "customer", "events", "documents")
-    return file_manifest(star.spark, {n: f"{star.folder.rstrip('/')}/{n}.parquet" for n in names})
+    """Name, hash and size of each file of every table."""
+    return file_manifest(star.spark, {n: f"{star.folder.rstrip('/')}/{n}.parquet" for n in TABLES})
+
+
+@query
+def manifest_rows(star: Star) -> DataFrame:
+    """Hash and length of every delivered text: documents and pages."""
+    texts = (("documents", "doc_id", "text"), ("pages", "page_id", "html"))
+    parts = [
+        star.table(name).select(
+            F.lit(name).alias("source"),
+            F.col(key).alias("row_id"),
+            F.sha2(F.col(text).cast("binary"), 256).alias("sha256"),
+            F.octet_length(text).alias("bytes"),
+        )
+        for name, key, text in texts
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def inventory_daily(star: Star) -> DataFrame:
+    """Snapshots with the catalogue's number; the catalogue lacks one brand, whose snapshots keep a NULL."""
+    known = star.table("part").where(F.col("p_brand") != "Brand#7").select(erp_key(F.col("p_partkey")).alias("sku_erp"), F.col("p_partkey").alias("sku_num"))
+    return core.fct_inventory_daily(star.inventory.drop("sku_num"), known)
+
+
+@query
+def asof_cost_repeated(star: Star) -> DataFrame:
+    """Costs of the day where catalogue numbers and start days repeat: every interval that holds the day is a row."""
+    number = (F.col("sku_num") % 50).alias("sku_num")
+    products = star.products.select("sku_erp", number)
+    steps = star.costs.select("sku_erp", "valid_from", "unit_cost_mxn")
+    again = steps.where("valid_from >= DATE'1997-01-01'").select("sku_erp", "valid_from", (F.col("unit_cost_mxn") * 2).cast(COST).alias("unit_cost_mxn"))
+    costs = validity_intervals(steps.unionByName(again), "sku_erp", "valid_from")
+    sales = star.pos.select(F.when(F.col("sku_num") % 7 != 0, F.col("sku_num") % 50).alias("sku_num"), "sale_date")
+    held = asof(sales, core.cost_intervals(costs, products), "sku_num", "sale_date")
+    return held.groupBy("sku_num", "sale_date").agg(F.count("*").alias("n"), F.count("unit_cost_mxn").alias("costs"))
 
 
 # --- quality -----------------------------------------------------------------------------------
@@ -375,8 +416,7 @@ def reconcile_full_outer(star: Star) -> DataFrame:
 @query
 def pii_scan(star: Star) -> DataFrame:
     """Personal column names and personal values in every text column of the given tables."""
-    names = ("customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "benchmark", "conversations")
-    return personal_values({n: star.table(n) for n in names})
+    return personal_values({n: star.table(n) for n in TABLES})
 
 
 # --- evidence ----------------------------------------------------------------------------------
