@@ -53,7 +53,8 @@ def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int
     chosen = rows.groupBy("lang", F.pmod("deal", F.lit(sample_docs)).alias("bucket")).agg(F.min("deal").alias("deal")).drop("bucket")
     begin = F.pmod("deal", F.greatest(F.length("text") - sample_chars, F.lit(0)).cast("long") + 1).cast("int") + 1
     stretch = F.col("text").substr(begin, F.lit(sample_chars)).alias("stretch")
-    found = rows.join(chosen, ["lang", "deal"]).select("lang", "deal", stretch).distinct().orderBy("lang", "deal", "stretch").collect()
+    # the sample is bounded, so it goes to the texts
+    found = rows.join(F.broadcast(chosen), ["lang", "deal"]).select("lang", "deal", stretch).distinct().orderBy("lang", "deal", "stretch").collect()
     often = {row["lang"]: row["count"] for row in rows.groupBy("lang").count().collect()}
     names = sorted({row["lang"] for row in found}, key=lambda name: (-often[name], name))
     return Dictionaries(names, [" ".join(letters(row["stretch"]) for row in found if row["lang"] == name).encode() for name in names])
