@@ -202,5 +202,6 @@ def place(pieces: DataFrame, length: int = LENGTH, shard_pieces: int = SHARD_PIE
         bin_, offset = pack_sizes(frame["length"].to_numpy(), length)
         return frame.assign(sequence_id=((frame["shard"].to_numpy() << 32) + bin_) * 2 + 1, offset=offset).drop(columns="shard")
 
-    packed = dealt.groupBy("shard").applyInPandas(shard, dealt.drop("shard").schema.simpleString()[7:-1].replace(":", " ") + ", sequence_id long, offset long")
+    # small rows, long work: shards aren't put together again
+    packed = dealt.repartition(shards, "shard").groupBy("shard").applyInPandas(shard, dealt.drop("shard").schema.simpleString()[7:-1].replace(":", " ") + ", sequence_id long, offset long")
     return whole.unionByName(packed)
