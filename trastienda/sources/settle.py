@@ -6,10 +6,13 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyarrow import fs
 from pyspark.sql import DataFrame
 
 from trastienda.session import shared_folder
 
+_made: list[str] = []
+
 
 def settle(frame: DataFrame) -> DataFrame:
     """The frame as Parquet files in the shared folder: computed once, safe if executors are lost."""
@@ -32,5 +35,19 @@ def settle_lines(frame: DataFrame, kind: str) -> str:
     return path
 
 
+def marked() -> int:
+    """A mark for `drop_settled`."""
+    return len(_made)
+
+
+def drop_settled(mark: int) -> None:
+    """Delete what was settled since the mark; for jobs that have stored all that read it."""
+    while len(_made) > mark:
+        system, path = fs.FileSystem.from_uri(_made.pop())
+        if system.get_file_info(path).type == fs.FileType.Directory:
+            system.delete_dir(path)
+
+
 def _new_folder(frame: DataFrame, kind: str) -> str:
-    return f"{shared_folder(frame.sparkSession)}/settled-{uuid.uuid4().hex}.{kind}"
+    _made.append(f"{shared_folder(frame.sparkSession)}/settled-{uuid.uuid4().hex}.{kind}")
+    return _made[-1]
