@@ -22,6 +22,7 @@ from trastienda.plans.growth import PRINCIPAL
 from trastienda.plans.staging import NOT_REPORTED, REPORTED, UNRECOGNISED
 from trastienda.quality.gate import WARN, Check, count_rows, measure, surplus_rows
 from trastienda.quality.privacy import personal_columns, personal_values
+from trastienda.sources.settle import settle_all
 
 Tables = dict[str, DataFrame]
 STAGING, CORE, MARTS = "staging", "core", "marts"
@@ -121,27 +122,45 @@ def raw_counts(tables: Tables) -> DataFrame:
     )
 
 
-def pos_checks(tables: Tables) -> list[DataFrame]:
-    pos = tables["stg.pos_sales"]
-    known_type = tables["stg.ref_doc_types"].select("doc_type", F.lit(True).alias("_known"))
-    typed = pos.join(F.broadcast(known_type), "doc_type", "left")  # a handful of constant rows
+def pos_profile(pos: DataFrame) -> DataFrame:
+    """Store sales by product, store and document type with the counts of all row conditions."""
     any_missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in ("sale_ts", "qty", "amount", "sku_num", "store_id")])
-    per_number = pos.groupBy("sku_num").agg(F.min("sku_pos").alias("first_code"), F.max("sku_pos").alias("last_code"))
-    catalogue = tables["stg.products"].select("sku_num")
-    absent = per_number.where(F.col("sku_num").isNotNull()).join(catalogue, "sku_num", "left_anti")
+    return pos.groupBy("sku_num", "sku_pos", "store_id", "doc_type").agg(
+        F.count("*").alias("n"),
+        F.count_if(any_missing).alias("unreadable"),
+        F.count_if(differs(F.col("currency"), F.lit(NATIVE_CURRENCY))).alias("foreign"),
+        F.count_if((F.col("qty") <= 0) | (F.col("amount") <= 0)).alias("not_positive"),
+    )
+
+
+def pos_checks(tables: Tables, profile: DataFrame) -> list[DataFrame]:
+    known_type = tables["stg.ref_doc_types"].select("doc_type", F.lit(True).alias("_known"))
+    typed = profile.join(F.broadcast(known_type), "doc_type", "left")  # a handful of constant rows
+    total = lambda value: F.coalesce(F.sum(value), F.lit(0))
+    sums = typed.agg(
+        total("unreadable").alias("unreadable"),
+        total("foreign").alias("foreign"),
+        total(F.when(F.col("_known").isNull(), F.col("n"))).alias("untyped"),
+        total("not_positive").alias("not_positive"),
+    )
+    per_number = profile.groupBy("sku_num").agg(F.min("sku_pos").alias("first_code"), F.max("sku_pos").alias("last_code"))
+    catalogue = tables["stg.products"].select("sku_num").distinct().withColumn("_listed", F.lit(True))
+    numbers = per_number.join(catalogue, "sku_num", "left").agg(
+        F.count_if(F.col("sku_num").isNotNull() & F.col("_listed").isNull()).alias("absent"),
+        F.count_if(F.col("first_code") != F.col("last_code")).alias("two_codes"),
+    )
     return [
-        count_rows(
-            typed,
+        measure(
+            sums,
             {
-                "pos_campos_parseables": any_missing,
-                "pos_moneda_mxn": differs(F.col("currency"), F.lit(NATIVE_CURRENCY)),
-                "pos_tipo_comprobante_conocido": F.col("_known").isNull(),
-                "pos_cantidad_y_monto_positivos": (F.col("qty") <= 0) | (F.col("amount") <= 0),
+                "pos_campos_parseables": F.col("unreadable"),
+                "pos_moneda_mxn": F.col("foreign"),
+                "pos_tipo_comprobante_conocido": F.col("untyped"),
+                "pos_cantidad_y_monto_positivos": F.col("not_positive"),
             },
         ),
-        surplus_rows(pos, "pos_venta_id_unico", ["sale_id"], null_is_key=False),
-        _one_row(absent, "pos_sku_en_catalogo", F.count("*")),
-        count_rows(per_number, {"pos_sku_texto_unico_por_numero": F.col("first_code") != F.col("last_code")}),
+        surplus_rows(tables["stg.pos_sales"], "pos_venta_id_unico", ["sale_id"], null_is_key=False),
+        measure(numbers, {"pos_sku_en_catalogo": F.col("absent"), "pos_sku_texto_unico_por_numero": F.col("two_codes")}),
     ]
 
 
@@ -191,32 +210,40 @@ def fx_checks(tables: Tables) -> list[DataFrame]:
     ]
 
 
-def snapshot_checks(tables: Tables) -> list[DataFrame]:
-    snapshots = tables["stg.inventory_snapshots"]
+def stock_cells(snapshots: DataFrame) -> DataFrame:
+    """Snapshots by day, store and product with their rows, and those whose stock is no valid value."""
     reported = F.col("stock_status") == REPORTED
     bad_stock = (F.col("stock_status") == UNRECOGNISED) | (
         reported & (F.col("stock_qty").isNull() | (F.col("stock_qty") < 0))
     )
+    return snapshots.groupBy("snapshot_date", "store_id", "sku_erp").agg(
+        F.count("*").alias("n"), F.count_if(bad_stock).alias("bad_stock")
+    )
+
+
+def snapshot_checks(tables: Tables, cells: DataFrame) -> list[DataFrame]:
     absent = (
-        snapshots.where(F.col("sku_erp").isNotNull())
+        cells.where(F.col("sku_erp").isNotNull())
         .select("sku_erp")
         .distinct()
         .join(tables["stg.products"].select("sku_erp"), "sku_erp", "left_anti")
     )
+    undated = F.when(F.col("snapshot_date").isNull(), F.col("n"))
+    sums = cells.agg(F.coalesce(F.sum("bad_stock"), F.lit(0)).alias("bad_stock"), F.coalesce(F.sum(undated), F.lit(0)).alias("undated"))
     return [
-        count_rows(
-            snapshots,
-            {"stock_valores_validos": bad_stock, "snapshots_parseables": F.col("snapshot_date").isNull()},
-        ),
-        *grid_checks(snapshots),
+        measure(sums, {"stock_valores_validos": F.col("bad_stock"), "snapshots_parseables": F.col("undated")}),
+        *cell_checks(cells),
         _one_row(absent, "snapshots_sku_en_catalogo", F.count("*")),
     ]
 
 
 def grid_checks(snapshots: DataFrame) -> list[DataFrame]:
     """Repeated cells of the day, store and product grid, and pairs without a row for every day."""
-    cells = snapshots.groupBy("snapshot_date", "store_id", "sku_erp").agg(F.count("*").alias("n"))
-    span = snapshots.agg(F.min("snapshot_date").alias("lo"), F.max("snapshot_date").alias("hi")).select(
+    return cell_checks(snapshots.groupBy("snapshot_date", "store_id", "sku_erp").agg(F.count("*").alias("n")))
+
+
+def cell_checks(cells: DataFrame) -> list[DataFrame]:
+    span = cells.agg(F.min("snapshot_date").alias("lo"), F.max("snapshot_date").alias("hi")).select(
         days_inclusive(F.col("lo"), F.col("hi")).alias("days")
     )
     per_pair = cells.groupBy("store_id", "sku_erp").agg(F.sum("n").alias("rows"))
@@ -255,23 +282,29 @@ def catalogue_checks(tables: Tables, formats: KeyFormats) -> list[DataFrame]:
     ]
 
 
-def store_checks(tables: Tables) -> list[DataFrame]:
-    used = (
-        tables["stg.pos_sales"].select("store_id").union(tables["stg.inventory_snapshots"].select("store_id")).distinct()
-    )
+def store_checks(tables: Tables, profile: DataFrame, cells: DataFrame) -> list[DataFrame]:
+    used = profile.select("store_id").union(cells.select("store_id")).distinct()
     unknown = used.where(F.col("store_id").isNotNull()).join(tables["stg.stores"].select("store_id"), "store_id", "left_anti")
     return [_one_row(unknown, "tiendas_en_erp", F.count("*"))]
 
 
 def staging_measures(tables: Tables, formats: KeyFormats = KeyFormats()) -> DataFrame:
+    """Sales and snapshots are grouped once each, and the groups are stored; most checks read those."""
+    groups = settle_all(
+        {
+            "sales": lambda: pos_profile(tables["stg.pos_sales"]),
+            "cells": lambda: stock_cells(tables["stg.inventory_snapshots"]),
+            "totals": lambda: tables["raw.source_totals"],
+        }
+    )
     parts = [
-        raw_counts(tables),
-        *pos_checks(tables),
+        raw_counts({**tables, "raw.source_totals": groups["totals"]}),
+        *pos_checks(tables, groups["sales"]),
         *order_checks(tables, formats),
         *fx_checks(tables),
-        *snapshot_checks(tables),
+        *snapshot_checks(tables, groups["cells"]),
         *catalogue_checks(tables, formats),
-        *store_checks(tables),
+        *store_checks(tables, groups["sales"], groups["cells"]),
     ]
     return reduce(DataFrame.unionByName, parts)
 

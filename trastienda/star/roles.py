@@ -9,6 +9,7 @@ missing from the mappings.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -37,6 +38,7 @@ COST_STEPS = (("1995-03-01", "1.00"), ("1997-07-15", "1.50"), ("2000-02-29", "2.
 STAR_FORMATS = KeyFormats(
     pos=r"^CN-(\d+)$", erp=r"^ERP-(\d+)$", handle=r"^item-(\d+)$", number_type="bigint"
 )
+_DELIVERED: dict[tuple[str, str, str], str] = {}
 # A run on the event grid counts when it is longer than this.
 EVENT_RUN_DAYS = 10
 
@@ -334,10 +336,17 @@ class Star:
     @cached_property
     def pos_lines(self) -> DataFrame:
         """The text lines of a CSV delivery of the store sales, read back from its files."""
-        return self.delivered(self.raw_pos)
+        return self.delivered("pos", self.raw_pos)
 
-    def delivered(self, raw: DataFrame) -> DataFrame:
-        return totals.read_lines(self.spark, settle_lines(raw.select(F.to_csv(F.struct("*"))), "csv"))
+    def delivered(self, name: str, raw: DataFrame) -> DataFrame:
+        return totals.read_lines(self.spark, self.delivery(name, lambda: raw.select(F.to_csv(F.struct("*"))), "csv"))
+
+    def delivery(self, name: str, lines: Callable[[], DataFrame], kind: str) -> str:
+        """The folder of a text delivery, which is written once per session and folder of tables."""
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in _DELIVERED:
+            _DELIVERED[key] = settle_lines(lines(), kind)
+        return _DELIVERED[key]
 
     @cached_property
     def documents(self) -> DataFrame:
@@ -396,7 +405,7 @@ class Star:
             F.to_json(F.struct(F.array(F.struct("sku_pos", "sku_erp", "handle")).alias("sku_mappings"))).alias("line")
         )
         lines = snapshots.union(products).union(stores).union(mappings)
-        return erp.read_documents(self.spark, settle_lines(lines, "jsonl"))
+        return erp.read_documents(self.spark, self.delivery("export", lambda: lines, "jsonl"))
 
     @cached_property
     def source_totals(self) -> DataFrame:
@@ -404,7 +413,7 @@ class Star:
         return (
             totals.pos_totals(self.clean_pos_lines)
             .unionByName(totals.order_totals(self.raw_orders))
-            .unionByName(totals.fx_totals(self.delivered(self.raw_fx), ",".join(FX_COLUMNS)))
+            .unionByName(totals.fx_totals(self.delivered("fx", self.raw_fx), ",".join(FX_COLUMNS)))
             .unionByName(totals.erp_totals(self.documents))
         )
 
@@ -412,7 +421,7 @@ class Star:
     def clean_pos_lines(self) -> DataFrame:
         """The delivery without the decimal commas, the counterpart of the typed role."""
         monto = F.replace("monto", F.lit(","), F.lit("."))
-        return self.delivered(self.raw_pos.withColumn("monto", monto))
+        return self.delivered("clean pos", self.raw_pos.withColumn("monto", monto))
 
     # --- all layers by name ------------------------------------------------------------------
 
