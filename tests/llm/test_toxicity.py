@@ -67,3 +67,15 @@ def test_odd_rows(spark, odd, nothing, odd_rows):
 def test_calibration_never_falls():
     chance = toxicity.monotone(np.array([10, 5, 0, 4, 6]), np.array([1, 2, 0, 1, 6]))
     assert list(chance) == pytest.approx([0.1, 1 / 3, 1 / 3, 1 / 3, 1.0])
+
+
+def test_sample_is_bounded_and_weighed(spark):
+    labels = spark.createDataFrame([(k, int(k % 10 == 0)) for k in range(2000)] + [(None, 1), (5000, None), (5001, 7)], "doc_id long, toxic int")
+    chosen, weights = toxicity.sample(labels, rows=64)
+    sizes = {r.toxic: r["count"] for r in chosen.groupBy("toxic").count().collect()}
+    assert set(sizes) == {0, 1} and all(50 <= n <= 64 for n in sizes.values())
+    assert {k: round(weights[k] * sizes[k]) for k in sizes} == {0: 1800, 1: 200}
+    everything, ones = toxicity.sample(labels, rows=1 << 30)
+    assert everything.count() == 2000 and set(ones.values()) == {1.0}
+    none, nothing = toxicity.sample(labels.limit(0))
+    assert none.count() == 0 and nothing == {}

@@ -36,7 +36,8 @@ def op4_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    model = toxicity.learn(docs.where(~held_out(F.col("doc_id"))).join(labels.where("toxic IS NOT NULL"), "doc_id"))
+    chosen, weights = toxicity.sample(labels.where(~held_out(F.col("doc_id"))))
+    model = toxicity.learn(docs.join(F.broadcast(chosen), "doc_id"), weights)
     found = toxicity.score(docs, model, F.col("doc_id")).withColumnRenamed("key", "doc_id")
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence", "n_passages")
 

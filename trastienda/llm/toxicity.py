@@ -11,6 +11,9 @@ an extreme value law whose two parameters come from the score frequencies of oth
 document's evidence combines its best segment and the sum of its significant ones, and
 two-way counts of labelled evidence turn it into a probability.
 
+Fitting takes a bounded sample of the labelled documents of each class; the calibration weighs
+the classes by their true sizes.
+
 Defined cases: null and empty texts have no passage and get the score of no evidence;
 without toxic labels every score is 0; labels that are null teach nothing; repeated
 rows score alike; an empty table gives an empty result; other columns are ignored.
@@ -30,11 +33,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trastienda.llm.common import text_of
+from trastienda.sources.settle import settle
 
 #: Slots of token weights; what is collected, broadcast and held in a task is bounded by it.
 SLOTS = 1 << 18
 #: Weight of the prior as a part of all counts.
 PRIOR = 0.01
+#: Labelled documents of each class that the model is fitted on, at most.
+SAMPLE_ROWS = 16_384
 #: Standard errors that a log-odds ratio is shrunk by.
 SHRINK = 1.0
 DRIFT = 2.0
@@ -67,6 +73,18 @@ class Slots(dict):
         return np.fromiter(map(self.__getitem__, TOKEN.findall(text.lower())), "int32")
 
 
+def sample(labels: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[DataFrame, dict[int, float]]:
+    """Of each class the doc_ids with the smallest hash of a bucket, and how many labelled ones each stands for.
+
+    The sample's size is bounded, so it can be broadcast and texts stay where they are.
+    """
+    known = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").select("doc_id", F.col("toxic").cast("int").alias("toxic"), F.xxhash64("doc_id").alias("deal"))
+    least = F.min(F.struct("deal", "doc_id")).alias("first")
+    chosen = settle(known.groupBy("toxic", F.pmod("deal", F.lit(rows)).alias("bucket")).agg(least, F.count("*").alias("n")).select("first.doc_id", "toxic", "n"))
+    sizes = chosen.groupBy("toxic").agg((F.sum("n") / F.count("*")).alias("each")).collect()
+    return chosen.select("doc_id", "toxic"), {row["toxic"]: row["each"] for row in sizes}
+
+
 def count_slots(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(documents, tokens) by label and slot, from (text, toxic); each task adds up its own before the shuffle."""
 
@@ -191,15 +209,18 @@ def monotone(counts: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     return np.concatenate([np.full(int(w), k / n if n else 0.0) for n, k, w in blocks])
 
 
-def learn(labelled: DataFrame) -> Model:
-    """From rows with text and toxic (0 or 1): weights, chance law and the calibration of the evidence."""
+def learn(labelled: DataFrame, weights: dict[int, float] | None = None) -> Model:
+    """From rows with text and toxic (0 or 1): weights, chance law and the calibration of the evidence.
+
+    `weights` says how many documents a row of each class stands for.
+    """
     rows = labelled.where("toxic IN (0, 1)")
     raw = Model(*weigh(*count_slots(rows)), np.zeros(STEPS + 1))
     seen = scan_evidence(rows, raw, F.col("toxic").cast("int"))
     steps = seen.groupBy("key", F.least(F.floor(F.col("evidence") * 2), F.lit(STEPS)).alias("step")).count().collect()
     by = np.zeros((2, STEPS + 1))
     for row in steps:
-        by[row["key"], row["step"]] += row["count"]
+        by[row["key"], row["step"]] += row["count"] * (weights or {}).get(row["key"], 1.0)
     return raw._replace(chance=monotone(by.sum(axis=0), by[1]))
 
 
