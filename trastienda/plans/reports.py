@@ -14,6 +14,8 @@ from trastienda.plans.core import ONLINE, PHYSICAL
 
 Tables = dict[str, DataFrame]
 
+# The Spanish headings of the presentation tables.
+
 
 def checks_passed(tables: Tables) -> DataFrame:
     """Checks of the latest run, and how many passed."""

@@ -57,6 +57,11 @@ class Star:
             self._opened[name] = self.spark.read.parquet(f"{self.folder.rstrip('/')}/{name}.parquet")
         return self._opened[name]
 
+    def dealt(self, name: str, key: str) -> DataFrame:
+        """A table for work that is heavy per row: one that comes as a single piece, and only that, is dealt out."""
+        table = self.table(name)
+        return table.repartition(self.spark.sparkContext.defaultParallelism, key) if table.rdd.getNumPartitions() == 1 else table
+
     @cached_property
     def pos(self) -> DataFrame:
         return self.pos_of(self.table("lineitem"))
@@ -273,7 +278,7 @@ class Star:
     @cached_property
     def lines(self) -> DataFrame:
         """Sales lines of both channels before product facts are added."""
-        return core.physical_lines(self.pos, self.doc_types).unionByName(core.online_lines(self.orders, self.fx))
+        return core.physical_lines(self.pos_of(self.dealt("lineitem", "l_orderkey")), self.doc_types).unionByName(core.online_lines(self.orders, self.fx))
 
     @cached_property
     def fct_sales(self) -> DataFrame:
@@ -284,7 +289,7 @@ class Star:
     @cached_property
     def raw_pos(self) -> DataFrame:
         """Store sales as text; taxed at the top rate they carry a decimal comma no number parser accepts."""
-        pos = self.table("lineitem")
+        pos = self.dealt("lineitem", "l_orderkey")
         amount = F.col("l_extendedprice").cast(MONEY).cast("string")
         return pos.select(
             F.concat_ws("-", "l_orderkey", "l_linenumber").alias("venta_id"),
@@ -356,7 +361,7 @@ class Star:
             .when(F.col("l_discount") > 0, (F.col("l_quantity").cast("int") * 3).cast("string"))
             .otherwise('"N/A"')
         )
-        snapshots = self.table("lineitem").select(
+        snapshots = self.dealt("lineitem", "l_orderkey").select(
             F.format_string(
                 '{"snapshots":[{"fecha":"%s","tienda_id":"%s","sku_erp":"%s","cantidad_en_stock":%s}]}',
                 F.date_format("l_shipdate", "yyyy-MM-dd"),
