@@ -1,4 +1,5 @@
 import random
+import re
 
 import brute
 import numpy as np
@@ -90,6 +91,41 @@ def test_query_against_brute_force(spark, sf, documents):
         assert rows[doc_id].component_id == documents[label][0]
 
 
+def test_near_copies_of_the_stage(spark, monkeypatch):
+    """Five words, similarity 0.8: a few replaced words are a near copy, whatever the two-bit rule says; more aren't."""
+    rng = random.Random(11)
+    words = [f"w{rng.randrange(5000)}" for _ in range(300)]
+
+    def edited(*at):
+        return " ".join("edit" + str(k) if k in at else w for k, w in enumerate(words))
+
+    texts = [edited(), edited(*range(20, 300, 60)), edited(*range(10, 300, 20)), edited(40, 140, 240), " ".join(reversed(words))]
+    assert [simhash.similar(simhash.shingles(texts[0]), simhash.shingles(t)) for t in texts] == [True, True, False, True, False]
+    assert all((simhash.fingerprint(texts[0]) ^ simhash.fingerprint(texts[k])).bit_count() > 2 for k in (1, 3))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for block in (256, 1):
+        monkeypatch.setattr(simhash, "NEAR_BLOCK", block)
+        assert sorted(r.doc_id for r in simhash.drop_near_copies(docs).collect()) == [0, 2, 4]
+
+
+def test_stage_against_brute_force(spark, sf, documents):
+    """All pairs of documents, by their sets of five-word shingles."""
+    sets = [brute_shingles(t) for _, t, _, _ in documents]
+    label = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and label[i] != label[j]:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    kept = simhash.drop_near_copies(spark.read.parquet(f"{sf}/documents.parquet"))
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == [d[0] for k, d in enumerate(documents) if label[k] == k]
+
+
+def brute_shingles(text):
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", "".join(c.lower() if c.isascii() else c for c in text or "")) if w]
+    return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+
+
 @pytest.mark.parametrize("edges", [[], [(1, 2)], [(i, i + 1) for i in range(60)], [(0, i) for i in range(1, 50)] + [(100, 101), (101, 49)], [(3, 3)]])
 def test_components(spark, edges):
     found = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

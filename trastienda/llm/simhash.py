@@ -11,6 +11,10 @@ their children, as often as needed, so that a task only gets small ones; those a
 traversed to the end in the task. A task gives a spanning forest of its links, never
 all pairs of a group. Components come from repeated rounds of smallest neighbours.
 
+`drop_near_copies` has a contract of its own: word shingles of five, similarity of at least
+0.8. The tries, with a larger budget, propose groups; a link is made only where two documents of
+a group are within that budget and their sets of shingles are that similar.
+
 Defined cases: null text and text without words have fingerprint zero and are linked like
 any other; repeated rows are in one component; a null doc_id is no component's smallest unless
 all are null; an empty table gives an empty result; other columns are ignored.
@@ -34,8 +38,14 @@ from trastienda.sources.settle import settle
 
 SHINGLE = 3
 SEED = 42
-BITS, THIRD = 64, 22
+BITS = 64
 BUDGET = 2
+#: Near copies: the words of a shingle, the similarity of two sets of them, the bits within which pairs are proposed.
+NEAR_SHINGLE, NEAR_SIMILAR, NEAR_BUDGET = 5, 0.8, 11
+#: With so many bits hardly a node pair is dropped early, so splitting pays later and leaves are larger.
+NEAR_NODE_ROWS, NEAR_LEAF = 50_000, 1 << 18
+#: Documents of a proposed group that a task compares with as many others.
+NEAR_BLOCK = 256
 #: A node pair with more fingerprints is split into the pairs of its children.
 NODE_ROWS = 2000
 #: Rows of small node pairs that a task takes at once, about.
@@ -44,6 +54,8 @@ BUCKET_ROWS = 20_000
 STRIDE = 4
 #: Shingles hashed at once, which bounds the memory for long texts.
 BLOCK = 1 << 16
+#: Fingerprints compared at once, left times right.
+LEAF = 4096
 
 _LOWER = {code: code + 32 for code in range(ord("A"), ord("Z") + 1)}
 
@@ -90,7 +102,7 @@ def joined(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[tuple[int, i
     return found
 
 
-def linked(left: np.ndarray, right: np.ndarray, spent: int, bits: int, budget: int = BUDGET) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def linked(left: np.ndarray, right: np.ndarray, spent: int, bits: int, budget: int = BUDGET, leaf: int = LEAF) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Positions (left, right) of pairs within the budget: a trie over the lowest `bits` bits of both sorted arrays.
 
     A frontier holds node pairs of one depth as ranges of the arrays; each level splits
@@ -101,7 +113,7 @@ def linked(left: np.ndarray, right: np.ndarray, spent: int, bits: int, budget: i
         a0, a1, b0, b1, cost, depth = pairs.pop()
         if a0 == a1 or b0 == b1:
             continue
-        if depth == 0 or (a1 - a0) * (b1 - b0) <= 4096:
+        if depth == 0 or (a1 - a0) * (b1 - b0) <= leaf:
             x, y = left[a0:a1], right[b0:b1]
             i, j = np.nonzero(np.bitwise_count(x[:, None] ^ y[None, :]) <= budget)
             if len(i):
@@ -114,19 +126,20 @@ def linked(left: np.ndarray, right: np.ndarray, spent: int, bits: int, budget: i
             pairs += [(a0, am, bm, b1, cost + 1, depth - 1), (am, a1, b0, bm, cost + 1, depth - 1)]
 
 
-def _turned(fp: Column, third: int) -> Column:
-    """The fingerprint with another third of its bits first; a turn by 22 or 43 bits."""
-    turn = (0, THIRD, 2 * THIRD - 1)[third]
-    return fp if not turn else F.shiftleft(fp, turn).bitwiseOR(F.shiftrightunsigned(fp, BITS - turn))
+def _turns(budget: int) -> list[tuple[int, int]]:
+    """(turn, bits) of the budget + 1 parts of a fingerprint, one of which is equal within the budget."""
+    sizes = [BITS // (budget + 1) + (k < BITS % (budget + 1)) for k in range(budget + 1)]
+    return [(sum(sizes[:k]), size) for k, size in enumerate(sizes)]
 
 
-#: Bits that are equal before the traversal: 22, 21 and 21 of the three turns.
-_FIRST = (THIRD, THIRD - 1, THIRD - 1)
+def _turned(fp: Column, turn: int) -> Column:
+    """The fingerprint turned by so many bits, so that another part comes first."""
+    return fp if not turn else F.shiftleft(fp, turn).bitwiseOR(F.shiftrightunsigned(fp, BITS - turn))
 
 
-def links(distinct: DataFrame, node_rows: int = NODE_ROWS) -> DataFrame:
+def links(distinct: DataFrame, node_rows: int = NODE_ROWS, budget: int = BUDGET, leaf: int = LEAF) -> DataFrame:
     """(a, b): links between distinct fingerprints `fp` that join all that are within the budget."""
-    turns = F.explode(F.array(*[F.struct(F.lit(k).alias("trie"), _turned(F.col("fp"), k).alias("path"), F.lit(n).alias("depth")) for k, n in enumerate(_FIRST)])).alias("t")
+    turns = F.explode(F.array(*[F.struct(F.lit(k).alias("trie"), _turned(F.col("fp"), turn).alias("path"), F.lit(n).alias("depth")) for k, (turn, n) in enumerate(_turns(budget))])).alias("t")
     rows = distinct.select("fp", turns).select("fp", "t.*")
     prefix = lambda path, depth: F.expr(f"shiftrightunsigned({path}, {BITS} - {depth})")
     # side 0 and 1 of a node pair: the same node at first, then pairs of different ones
@@ -138,25 +151,25 @@ def links(distinct: DataFrame, node_rows: int = NODE_ROWS) -> DataFrame:
         large = settle(sizes.where((F.col("rows") > node_rows) & (F.col("at") < BITS)).select("pair"))
         split = bool(large.take(1))
         small = open_rows.join(large, "pair", "left_anti") if split else open_rows
-        done.append(_traverse(small, max(1, open_rows.count() // BUCKET_ROWS)))
+        done.append(_traverse(small, max(1, open_rows.count() // BUCKET_ROWS), budget, leaf))
         if not split:
             break
-        open_rows = _children(open_rows.join(large, "pair", "left_semi"))
+        open_rows = _children(open_rows.join(large, "pair", "left_semi"), budget)
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
     return out
 
 
-def _children(rows: DataFrame) -> DataFrame:
+def _children(rows: DataFrame, budget: int) -> DataFrame:
     """The pairs of children of each node pair, STRIDE bits below, without those beyond the budget."""
     names = range(1 << STRIDE)
     deeper = F.least(F.col("depth") + STRIDE, F.lit(BITS))
     child = F.expr(f"shiftrightunsigned(path, {BITS} - least(depth + {STRIDE}, {BITS})) & ((1 << (least(depth + {STRIDE}, {BITS}) - depth)) - 1)")
-    near = [[F.struct(F.lit(other).cast("long").alias("other"), F.lit((own ^ other).bit_count()).alias("more")) for other in names if (own ^ other).bit_count() <= BUDGET] for own in names]
+    near = [[F.struct(F.lit(other).cast("long").alias("other"), F.lit((own ^ other).bit_count()).alias("more")) for other in names if (own ^ other).bit_count() <= budget] for own in names]
     table = F.array(*[F.array(*x) for x in near])
     met = rows.withColumns({"child": child, "deeper": deeper}).withColumn("near", F.explode(F.element_at(table, (F.col("child") + 1).cast("int"))))
-    met = met.where(F.col("spent") + F.col("near.more") <= BUDGET)
+    met = met.where(F.col("spent") + F.col("near.more") <= budget)
     own, other = F.col("child"), F.col("near.other")
     # a node with itself gives each pair of different children once; two nodes give both orders
     left = F.when(F.col("side") == 2, F.least(own, other)).when(F.col("side") == 0, own).otherwise(other)
@@ -165,7 +178,7 @@ def _children(rows: DataFrame) -> DataFrame:
     return met.select("fp", "path", F.col("deeper").alias("depth"), F.concat_ws("-", "pair", left, right).alias("pair"), side.alias("side"), (F.col("spent") + F.col("near.more")).alias("spent"))
 
 
-def _traverse(rows: DataFrame, buckets: int) -> DataFrame:
+def _traverse(rows: DataFrame, buckets: int, budget: int, leaf: int) -> DataFrame:
     """The links of small node pairs, which a hash deals into buckets of bounded size."""
 
     def scan(frame: pd.DataFrame) -> pd.DataFrame:
@@ -181,7 +194,7 @@ def _traverse(rows: DataFrame, buckets: int) -> DataFrame:
                 continue
             lefts, rights = lo + np.flatnonzero(side[lo:hi] != 1), lo + np.flatnonzero(side[lo:hi] != 0)
             label = np.arange(hi - lo)
-            for i, j in linked(path[lefts], path[rights], int(spent[lo]), BITS - int(depth[lo])):
+            for i, j in linked(path[lefts], path[rights], int(spent[lo]), BITS - int(depth[lo]), budget, leaf):
                 found += [(fp[lo + a], fp[lo + b]) for a, b in joined(label, lefts[i] - lo, rights[j] - lo)]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
@@ -201,9 +214,71 @@ def near_duplicates(docs: DataFrame, carry: Column | None = None, size: int = SH
     return prints.join(member, "fp").select("key", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component")
 
 
+def shingles(text: str, size: int = NEAR_SHINGLE, seed: int = SEED) -> np.ndarray:
+    """The sorted hashes of a text's distinct shingles; fewer words are one shingle."""
+    words = re.findall(WORD, text.translate(_LOWER))
+    parts = [" ".join(words)] if len(words) < size else map(" ".join, zip(*(words[k:] for k in range(size)), strict=False))
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(x, seed) for x in parts), "<u8"))
+
+
+def similar(left: np.ndarray, right: np.ndarray, least: float = NEAR_SIMILAR) -> bool:
+    """Whether the Jaccard similarity of two sets of shingles is `least` or more."""
+    few, many = sorted((len(left), len(right)))
+    if few < least * many:
+        return False
+    both = len(np.intersect1d(left, right, assume_unique=True))
+    return both >= least * (few + many - both)
+
+
+def _verified(near: DataFrame) -> DataFrame:
+    """(a, b): links between similar documents of a group, from (n, fp, root, members, text).
+
+    A group is dealt into blocks, and each pair of blocks is compared in a task of its own, so
+    that a large group doesn't lie in one task.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, text in enumerate(batch.column(4)):
+                kept = pa.array([shingles(text.as_py()).view("i8")], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(k, 1) for c in range(4)), kept], ["n", "fp", "root", "members", "shingles"])
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        names, fp, sets = frame["n"].to_numpy(), frame["fp"].to_numpy().view("u8"), frame["shingles"].tolist()
+        block, label, found = frame["block"].to_numpy(), np.arange(len(frame)), []
+        across = frame["low"].iloc[0] != frame["high"].iloc[0]
+        for i in range(len(frame)):
+            near = np.bitwise_count(fp[i + 1 :] ^ fp[i]) <= NEAR_BUDGET
+            if across:
+                near &= block[i + 1 :] != block[i]
+            for j in (np.flatnonzero(near) + i + 1).tolist():
+                if label[i] != label[j] and similar(sets[i], sets[j]):
+                    found.append((names[i], names[j]))
+                    label[label == label[j]] = label[i]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    source = near.select("n", "fp", "root", "members", "text")
+    hashed = source.mapInArrow(scan, "n long, fp long, root long, members long, shingles array<long>")
+    blocks = F.ceil(F.col("members") / NEAR_BLOCK)
+    dealt = hashed.withColumn("block", F.pmod(F.xxhash64("n"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    pairs = dealt.select("n", "fp", "root", "shingles", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    return pairs.groupBy("root", "low", "high").applyInPandas(compare, "a long, b long")
+
+
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """The documents with one row of each component: that with the smallest doc_id, then place (null ids last)."""
+    """The documents with one row of each component of near copies: that with the smallest doc_id, then place (null ids last)."""
     rows = located(docs, [F.struct("*").alias("row"), F.col("doc_id"), text_of().alias("text")])
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("place").alias("place"))
-    first = near_duplicates(rows.select("doc_id", "place", "text"), order).where(F.col("key") == F.col("component")).select("key.place")
-    return rows.join(first, "place", "left_semi").select("row.*")
+    prints = settle(fingerprints(rows, order))
+    distinct = prints.groupBy("fp").agg(F.count("*").alias("rows"))
+    proposed = components(links(distinct.select("fp"), NEAR_NODE_ROWS, NEAR_BUDGET, NEAR_LEAF))
+    rooted = distinct.join(proposed.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    groups = rooted.groupBy("root").agg(F.sum("rows").alias("members")).where("members > 1")
+    near = settle(prints.join(rooted.join(groups, "root").select("fp", "root", "members"), "fp").withColumn("n", F.monotonically_increasing_id()))
+    texts = rows.select("place", "text").join(near.select(F.col("key.place").alias("place"), "n", "fp", "root", "members"), "place")
+    alike = components(_verified(texts))
+    # every member of a component but the first goes
+    member = near.select("key", "n").join(alike.select(F.col("node").alias("n"), "root"), "n", "left").select("key", F.coalesce("root", "n").alias("root"))
+    first = member.groupBy("root").agg(F.min("key").alias("first"))
+    gone = settle(member.join(first, "root").where(F.col("key") != F.col("first")).select("key.place"))
+    return rows.join(gone, "place", "left_anti").select("row.*")
