@@ -44,6 +44,14 @@ def test_same_ids_as_the_tokenizer(text):
     assert packing.Encoder.of("byte_bpe_50k").ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("blank", [" ", "\n"])
+def test_very_long_runs_of_blanks(blank):
+    """tiktoken alone raises on them."""
+    text = "a " + blank * 2_000_000 + "b<|endoftext|>"
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert packing.Encoder.of("byte_bpe_50k").ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_odd_rows(odd, nothing, odd_rows):
     rows = packing.pack(odd, shard_pieces=2).collect()
     gapless(rows, 1024)

@@ -18,6 +18,7 @@ import base64
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pandas as pd
@@ -28,6 +29,9 @@ from pyspark.sql import functions as F
 from trastienda.llm.common import text_of
 from trastienda.sources.settle import settle
 
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 LENGTH = 1024
 END = 2
 VOCABULARY = "byte_bpe_50k"
@@ -51,6 +55,7 @@ class Encoder:
 
         with open(public_tokenizers.path(f"{vocabulary}.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        self.vocabulary, self.whole = vocabulary, None
         self.encoding = tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={self.SPECIAL: len(ranks)})
 
     @classmethod
@@ -60,7 +65,19 @@ class Encoder:
         return cls.made[vocabulary]
 
     def ids(self, text: str) -> np.ndarray:
-        return self.encoding.encode_to_numpy(text, allowed_special={self.SPECIAL})
+        try:
+            return self.encoding.encode_to_numpy(text, allowed_special={self.SPECIAL})
+        except ValueError:  # its pattern can't backtrack over about a million blanks in a row
+            return np.array(self.tokenizer().encode(text, add_special_tokens=False).ids, "<u4")
+
+    def tokenizer(self) -> Tokenizer:
+        """The vocabulary's own tokenizer, read when first needed."""
+        if self.whole is None:
+            import public_tokenizers
+            from tokenizers import Tokenizer
+
+            self.whole = Tokenizer.from_file(public_tokenizers.path(f"{self.vocabulary}.json"))
+        return self.whole
 
 
 def cut(count: int, length: int) -> list[tuple[int, int]]:
