@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from trastienda.llm import exact_dedup, language, mixing, packing, personal, quality, secrets, simhash, toxicity, warc
+from trastienda.llm import exact_dedup, language, mixing, packing, periods, personal, quality, secrets, simhash, toxicity, warc
 from trastienda.llm.common import held_out, table
 from trastienda.sources.settle import settle
 
@@ -66,6 +66,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.secrets(table(spark, sf_dir, "documents")))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.period_runs(table(spark, sf_dir, "documents"), alter=True).withColumnRenamed("key", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_personal_data": op9_personal_data,
     "op10_secret_scan": op10_secret_scan,
+    "op12_periodic_runs": op12_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
 
