@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from trastienda.llm import exact_dedup, language, mixing, packing, periods, personal, quality, secrets, simhash, toxicity, warc
+from trastienda.llm import alignment, exact_dedup, language, mixing, packing, periods, personal, quality, secrets, simhash, toxicity, warc
 from trastienda.llm.common import held_out, table
 from trastienda.sources.settle import settle
 
@@ -70,6 +70,11 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.period_runs(table(spark, sf_dir, "documents"), alter=True).withColumnRenamed("key", "doc_id")
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.alignment(table(spark, sf_dir, "documents"))
+    return found.select(F.col("key").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_language_id": op2_language_id,
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_personal_data": op9_personal_data,
     "op10_secret_scan": op10_secret_scan,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_token_alignment": op13_token_alignment,
     "pipeline": corpus_pipeline.run,
 }
 
