@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from trastienda.llm import alignment, exact_dedup, language, mixing, packing, periods, personal, quality, secrets, simhash, toxicity, warc
+from trastienda.llm import alignment, exact_dedup, forest, language, mixing, packing, periods, personal, quality, secrets, simhash, toxicity, warc
 from trastienda.llm.common import held_out, table
 from trastienda.sources.settle import settle
 
@@ -66,6 +66,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.secrets(table(spark, sf_dir, "documents")))
 
 
+def op11_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = forest.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("key").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), F.col("key").eqNullSafe(F.col("component")).alias("kept"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.period_runs(table(spark, sf_dir, "documents"), alter=True).withColumnRenamed("key", "doc_id")
 
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_personal_data": op9_personal_data,
     "op10_secret_scan": op10_secret_scan,
+    "op11_lsh_forest": op11_lsh_forest,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_token_alignment": op13_token_alignment,
     "pipeline": corpus_pipeline.run,
