@@ -106,3 +106,19 @@ def segments(scores):
         return best(lo, top[1]) + [(top[1], top[2])] + best(top[2], hi)
 
     return best(0, len(scores))
+
+
+def shingles(text, size=5):
+    words = WORD.findall("".join(c.lower() if c.isascii() else c for c in text or ""))
+    return {tuple(words[k : k + size]) for k in range(max(1, len(words) - size + 1))}
+
+
+def near_components(texts, percent=80):
+    """Smallest position that each text is linked with, by all pairs of their sets of five-word shingles."""
+    sets, label = [shingles(t) for t in texts], list(range(len(texts)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if label[i] != label[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    return label

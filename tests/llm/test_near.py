@@ -1,5 +1,4 @@
 import random
-import re
 
 import brute
 import numpy as np
@@ -110,22 +109,11 @@ def test_near_copies_of_the_stage(spark, monkeypatch):
 
 def test_stage_against_brute_force(spark, sf, documents):
     """All pairs of documents, by their sets of five-word shingles."""
-    sets = [brute_shingles(t) for _, t, _, _ in documents]
-    label = list(range(len(sets)))
-    for i in range(len(sets)):
-        for j in range(i):
-            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and label[i] != label[j]:
-                low, high = sorted((label[i], label[j]))
-                label = [low if x == high else x for x in label]
+    label = brute.near_components([t for _, t, _, _ in documents])
     kept = simhash.drop_near_copies(spark.read.parquet(f"{sf}/documents.parquet"))
     assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == [d[0] for k, d in enumerate(documents) if label[k] == k]
 
 
-def brute_shingles(text):
-    words = [w for w in re.split(r"[\x20\x09-\x0D]+", "".join(c.lower() if c.isascii() else c for c in text or "")) if w]
-    return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
-
-
 @pytest.mark.parametrize("edges", [[], [(1, 2)], [(i, i + 1) for i in range(60)], [(0, i) for i in range(1, 50)] + [(100, 101), (101, 49)], [(3, 3)]])
 def test_components(spark, edges):
     found = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -30,7 +30,7 @@ def test_each_stage_against_brute_force(spark, sf, tmp_path):
     last = {r[1]: r[0] for r in rows["language_id"]}
     assert rows["exact_dedup"] == [r for r in rows["language_id"] if last[r[1]] == r[0]]
 
-    label = brute.components([brute.fingerprint(r[1]) for r in rows["exact_dedup"]])
+    label = brute.near_components([r[1] for r in rows["exact_dedup"]])
     assert rows["near_dedup"] == [r for k, r in enumerate(rows["exact_dedup"]) if label[k] == k]
 
     copies = Counter(rows["mix_sources"])
