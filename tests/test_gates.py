@@ -1,4 +1,6 @@
-"""Every broken assumption must be found by the check that watches it."""
+"""The staging rules against counter-examples: which rows break a rule, and how many violations it then counts."""
+
+import copy
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,88 +8,108 @@ from pyspark.sql import functions as F
 import small_shop
 from trastienda.plans.build import Run, raw_tables, staging_tables
 from trastienda.quality import checks
-from trastienda.quality.gate import ERROR, QualityCheckError, evaluate
+from trastienda.quality.gate import QualityCheckError, evaluate
 from trastienda.sources.files import SourceFiles
 from trastienda.sources.lake import Lake
 
+#: Where the rows of a source are, and the field that names one of them.
+ROWS = {
+    "sale": (lambda shop: shop["pos"], "venta_id"),
+    "order": (lambda shop: shop["orders"], "order_id"),
+    "rate": (lambda shop: shop["fx"], "fecha"),
+    "mapping": (lambda shop: shop["erp"]["sku_mappings"], "sku_pos"),
+    "product": (lambda shop: shop["erp"]["catalogo"]["productos"], "nombre"),
+    "cost": (lambda shop: [c for p in shop["erp"]["catalogo"]["productos"] for c in p["cost_history"]], "proveedor"),
+    "stock": (lambda shop: shop["erp"]["snapshots"], None),
+}
 
-def failed(spark, data, folder):
-    """Error checks that fail on staging tables computed straight from the files."""
-    raw = raw_tables(spark, SourceFiles(small_shop.deliver(data, folder)))
-    tables = {**raw, **staging_tables(spark, raw)}
-    outcomes = evaluate(checks.staging_measures(tables), checks.checks_of(checks.STAGING))
-    return {o.check.name for o in outcomes if not o.passed and o.check.severity == ERROR}
-
-
-def pos(i, **changes):
-    return lambda shop: shop["pos"][i].update(changes)
-
-
-def order(i, **changes):
-    return lambda shop: shop["orders"][i].update(changes)
-
-
-def product(i, **changes):
-    return lambda shop: shop["erp"]["catalogo"]["productos"][i].update(changes)
-
-
-def stock(value):
-    return lambda shop: shop["erp"]["snapshots"][0].update(cantidad_en_stock=value)
-
-
-def repeated_cost(shop):
-    history = shop["erp"]["catalogo"]["productos"][0]["cost_history"]
-    history.append(dict(history[0]))
+#: Shops that break several rules at once: the rows changed, and the violations of each rule that isn't kept.
+SHOPS = {
+    "sales of other kinds": (
+        [
+            ("sale", "A05", {"tipo_comprobante": "Q"}),
+            ("sale", "A04", {"moneda": "JPY"}),
+            ("sale", "A06", {"moneda": ""}),
+            ("sale", "A03", {"monto": "-20.00"}),
+            ("sale", "A13", {"cantidad": "-5"}),
+        ],
+        {"pos_tipo_comprobante_conocido": 1, "pos_moneda_mxn": 2, "pos_cantidad_y_monto_positivos": 2},
+    ),
+    "sales that can't be read": (
+        [("sale", "A02", {"cantidad": "four"}), ("sale", "A07", {"fecha_hora": "30.12.2023"}), ("sale", "A12", {"monto": "1,000.00"})],
+        {"pos_campos_parseables": 3},
+    ),
+    "keys of sales": (
+        [
+            ("sale", "A16", {"venta_id": "A15"}),
+            ("sale", "A09", {"tienda_id": "L40"}),
+            ("sale", "A10", {"sku": "CN-00512"}),
+            ("sale", "A11", {"sku": "CN-00512"}),
+        ],
+        {"pos_venta_id_unico": 1, "tiendas_en_erp": 1, "pos_sku_en_catalogo": 1},
+    ),
+    "orders": (
+        [
+            ("order", "W-1", {"currency": "GBP", "amount": 0.0}),
+            ("order", "W-3", {"fecha": "2023-11-28 09:00:00"}),
+            ("order", "W-4", {"product_handle": "té-verde-polvo-011", "order_id": "W-2"}),
+        ],
+        {
+            "ecommerce_moneda_conocida": 1,
+            "ecommerce_cantidad_y_monto_positivos": 1,
+            "fx_cobertura": 2,
+            "ecommerce_handle_coincide_con_nombre": 1,
+            "ecommerce_order_id_unico": 1,
+        },
+    ),
+    "orders that can't be read": ([("order", "W-4", {"fecha": "early"})], {"ecommerce_campos_parseables": 1}),
+    "rates": (
+        [("rate", "2023-11-19", {"rate_to_mxn": "-20.5"}), ("rate", "2023-11-20", {"rate_to_mxn": "n/a"}), ("rate", "2023-11-18", {"fecha": "2023-11-17"})],
+        {"fx_parseable_y_positivo": 2, "fx_llave_unica": 1},
+    ),
+    "mappings": (
+        [("mapping", "CN-00011", {"sku_erp": small_shop.erp(13)}), ("mapping", "CN-00012", {"handle": small_shop.MILL}), ("mapping", "CN-00014", {"sku_pos": "CN-00012"})],
+        # the third mapping now joins number 12 with key and handle of number 14
+        {"mapeo_explicito_mismo_numero": 2, "mapeo_handle_coincide_con_nombre": 2, "mapeo_sku_pos_unico": 1},
+    ),
+    "catalogue": (
+        [("product", "Jarabe Vainilla", {"sku_erp": "ERP-15"}), ("cost", "Casa G0", {"costo_mxn": 0}), ("cost", "Casa T1", {"fecha_vigencia": "2023-01-01"})],
+        # a key without a number isn't a number of its own either
+        {"catalogo_sku_formato": 1, "catalogo_numero_unico": 1, "costos_parseables_y_positivos": 1, "costos_sin_fechas_repetidas": 1},
+    ),
+    "a number listed twice": ([("product", "Jarabe Vainilla", {"sku_erp": "ERP-PROV-MX-013-A"})], {"catalogo_numero_unico": 1}),
+    "stock values": (
+        [("stock", k, {"cantidad_en_stock": value}) for k, value in enumerate(["agotado", -7, "6", 0.5, None, True, [2]])],
+        {"stock_valores_validos": 7},
+    ),
+    # the second row takes the place of the first; the third is no longer dated; the fourth opens a pair of one day
+    "stock keys": (
+        [("stock", 1, {"fecha": "2023-12-01"}), ("stock", 300, {"fecha": "spring"}), ("stock", 500, {"sku_erp": "ERP-PROV-MX-061-Q"})],
+        {"snapshots_llave_unica": 1, "snapshots_parseables": 1, "snapshots_grilla_completa": 2, "snapshots_sku_en_catalogo": 1},
+    ),
+}
 
 
-def without_rate(shop):
-    shop["fx"] = [r for r in shop["fx"] if (r["fecha"], r["currency"]) != ("2023-11-15", "USD")]
+def violated(spark, data, folder):
+    """The rules that staging tables computed straight from the files don't keep, with their violations."""
+    raw = raw_tables(spark, SourceFiles(small_shop.deliver(data, folder)))
+    outcomes = evaluate(checks.staging_measures({**raw, **staging_tables(spark, raw)}), checks.checks_of(checks.STAGING))
+    return {o.check.name: o.violations for o in outcomes if not o.passed}
 
 
-BROKEN = {
-    "unknown document type": (pos(0, tipo_comprobante="X"), "pos_tipo_comprobante_conocido"),
-    "stock text": (stock("desconocido"), "stock_valores_validos"),
-    "negative stock": (stock(-3), "stock_valores_validos"),
-    "number as text": (stock("10"), "stock_valores_validos"),
-    "fractional stock": (stock(2.5), "stock_valores_validos"),
-    "missing stock": (stock(None), "stock_valores_validos"),
-    "mapping to another number": (
-        lambda shop: shop["erp"]["sku_mappings"][0].update(sku_erp=small_shop.erp(14)), "mapeo_explicito_mismo_numero",
-    ),
-    "handle of another name": (order(0, product_handle="molino-grande-014"), "ecommerce_handle_coincide_con_nombre"),
-    "missing snapshot day": (lambda shop: shop["erp"]["snapshots"].pop(10), "snapshots_grilla_completa"),
-    "missing rate": (without_rate, "fx_cobertura"),
-    "product outside the catalogue": (pos(0, sku="CN-00099"), "pos_sku_en_catalogo"),
-    "repeated sale id": (pos(1, venta_id="A01"), "pos_venta_id_unico"),
-    "store sale in dollars": (pos(0, moneda="USD"), "pos_moneda_mxn"),
-    "decimal comma": (pos(0, monto="22,00"), "pos_campos_parseables"),
-    "short time stamp": (pos(0, fecha_hora="2023-7-20 10:15:00"), "pos_campos_parseables"),
-    "new currency": (order(0, currency="CAD"), "ecommerce_moneda_conocida"),
-    "unknown store": (pos(0, tienda_id="T999"), "tiendas_en_erp"),
-    "repeated cost date": (repeated_cost, "costos_sin_fechas_repetidas"),
-    "sale of nothing": (pos(0, cantidad="0"), "pos_cantidad_y_monto_positivos"),
-    "order without a moment": (order(0, fecha="soon"), "ecommerce_campos_parseables"),
-    "repeated order id": (order(1, order_id="W-1"), "ecommerce_order_id_unico"),
-    "order below zero": (order(0, amount=-1.0), "ecommerce_cantidad_y_monto_positivos"),
-    "rate of zero": (lambda shop: shop["fx"][0].update(rate_to_mxn="0"), "fx_parseable_y_positivo"),
-    "repeated rate": (lambda shop: shop["fx"].append(shop["fx"][0]), "fx_llave_unica"),
-    "snapshot without a date": (lambda shop: shop["erp"]["snapshots"][0].update(fecha="June"), "snapshots_parseables"),
-    "repeated snapshot": (lambda shop: shop["erp"]["snapshots"].append(shop["erp"]["snapshots"][0]), "snapshots_llave_unica"),
-    "catalogue key of another form": (product(4, sku_erp="PROV-15"), "catalogo_sku_formato"),
-    "two catalogue keys of a number": (product(4, sku_erp="ERP-PROV-MX-014-Z"), "catalogo_numero_unico"),
-    "cost below zero": (lambda shop: shop["erp"]["catalogo"]["productos"][0]["cost_history"][0].update(costo_mxn=-1), "costos_parseables_y_positivos"),
-    "code mapped twice": (lambda shop: shop["erp"]["sku_mappings"].append(shop["erp"]["sku_mappings"][0]), "mapeo_sku_pos_unico"),
-    "mapped handle of another name": (lambda shop: shop["erp"]["sku_mappings"][1].update(handle="taza-lisa-012"), "mapeo_handle_coincide_con_nombre"),
-    "snapshot of an unknown product": (lambda shop: shop["erp"]["snapshots"][0].update(sku_erp="ERP-PROV-MX-099-Q"), "snapshots_sku_en_catalogo"),
-}
+@pytest.mark.parametrize("name", SHOPS)
+def test_counter_examples_are_counted(spark, tmp_path, name):
+    changes, expected = SHOPS[name]
+    data = copy.deepcopy(small_shop.shop())
+    for source, which, fields in changes:
+        rows, key = ROWS[source][0](data), ROWS[source][1]
+        (rows[which] if key is None else next(r for r in rows if r[key] == which)).update(fields)
+    assert violated(spark, data, tmp_path / "in") == expected
 
 
-@pytest.mark.parametrize("name", BROKEN)
-def test_broken_assumption_is_found(spark, tmp_path, name):
-    breaks, check = BROKEN[name]
-    data = small_shop.shop()
-    breaks(data)
-    assert check in failed(spark, data, tmp_path / "in")
+def test_every_rule_has_a_counter_example():
+    shown = {rule for _, expected in SHOPS.values() for rule in expected} | set(checks.RAW_COUNTS) | {"pos_sku_texto_unico_por_numero"}
+    assert shown == {c.name for c in checks.checks_of(checks.STAGING)}
 
 
 @pytest.mark.parametrize("name", checks.RAW_COUNTS)
@@ -107,12 +129,12 @@ def test_two_codes_of_a_number_are_found(spark, tmp_path):
 
 
 def test_nothing_fails_on_the_intact_shop(spark, tmp_path):
-    assert failed(spark, small_shop.shop(), tmp_path / "in") == set()
+    assert violated(spark, small_shop.shop(), tmp_path / "in") == {}
 
 
 def test_results_are_stored_before_the_run_stops(spark, tmp_path):
     data = small_shop.shop()
-    pos(0, moneda="USD")(data)
+    data["pos"][3]["moneda"] = "JPY"
     run = Run(spark, SourceFiles(small_shop.deliver(data, tmp_path / "in")), Lake(spark, str(tmp_path / "lake"), "stop_"))
     with pytest.raises(QualityCheckError) as error:
         run.run()

@@ -25,7 +25,7 @@ from trastienda.sources.files import (
     require_sources,
 )
 from trastienda.sources.lake import Lake
-from trastienda.sources.settle import drop_settled, marked, settle
+from trastienda.sources.settle import dropped_at_end, settle
 
 Tables = dict[str, DataFrame]
 RESULTS, EVIDENCE = "quality_results", "assumption_metrics"
@@ -192,9 +192,8 @@ class Run:
 
     def run(self, export_to: str | None = None) -> Tables:
         self.lake.clear()
-        mark = marked()
-        self.load_raw()
-        drop_settled(mark)
+        with dropped_at_end():
+            self.load_raw()
         self.build_staging()
         self.gate(checks.STAGING)
         self.build_core()

@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyarrow import fs
 from pyspark.sql import DataFrame
 
 from trastienda.session import shared_folder
 
-_made: list[str] = []
+#: The folders that the run of this thread has made; None outside of `dropped_at_end`.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 def settle(frame: DataFrame) -> DataFrame:
@@ -24,7 +27,7 @@ def settle(frame: DataFrame) -> DataFrame:
 def settle_all(builders: dict[str, Callable[[], DataFrame]], side_by_side: int = 4) -> dict[str, DataFrame]:
     """Tables that do not read each other, built and written side by side to fill idle slots."""
     with ThreadPoolExecutor(side_by_side) as pool:
-        written = {name: pool.submit(lambda build=build: settle(build())) for name, build in builders.items()}
+        written = {name: pool.submit(copy_context().run, lambda build=build: settle(build())) for name, build in builders.items()}
         return {name: done.result() for name, done in written.items()}
 
 
@@ -35,19 +38,23 @@ def settle_lines(frame: DataFrame, kind: str) -> str:
     return path
 
 
-def marked() -> int:
-    """A mark for `drop_settled`."""
-    return len(_made)
-
-
-def drop_settled(mark: int) -> None:
-    """Delete what was settled since the mark; for jobs that have stored all that read it."""
-    while len(_made) > mark:
-        system, path = fs.FileSystem.from_uri(_made.pop())
-        if system.get_file_info(path).type == fs.FileType.Directory:
-            system.delete_dir(path)
+@contextmanager
+def dropped_at_end() -> Iterator[None]:
+    """Delete at the end what was settled inside, by this thread or for it; for jobs that have stored all that read it."""
+    made: list[str] = []
+    before = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(before)
+        for folder in made:
+            system, path = fs.FileSystem.from_uri(folder)
+            if system.get_file_info(path).type == fs.FileType.Directory:
+                system.delete_dir(path)
 
 
 def _new_folder(frame: DataFrame, kind: str) -> str:
-    _made.append(f"{shared_folder(frame.sparkSession)}/settled-{uuid.uuid4().hex}.{kind}")
-    return _made[-1]
+    folder, made = f"{shared_folder(frame.sparkSession)}/settled-{uuid.uuid4().hex}.{kind}", _made.get()
+    if made is not None:
+        made.append(folder)
+    return folder

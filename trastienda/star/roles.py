@@ -38,7 +38,7 @@ COST_STEPS = (("1995-03-01", "1.00"), ("1997-07-15", "1.50"), ("2000-02-29", "2.
 STAR_FORMATS = KeyFormats(
     pos=r"^CN-(\d+)$", erp=r"^ERP-(\d+)$", handle=r"^item-(\d+)$", number_type="bigint"
 )
-_DELIVERED: dict[tuple[str, str, str], str] = {}
+_DELIVERED: dict[tuple, str] = {}
 # A run on the event grid counts when it is longer than this.
 EVENT_RUN_DAYS = 10
 
@@ -347,12 +347,18 @@ class Star:
         return totals.read_lines(self.spark, self.delivery(name, lambda: raw.select(F.to_csv(F.struct("*"))), "csv"))
 
     def delivery(self, name: str, lines: Callable[[], DataFrame], kind: str) -> str:
-        """The folder of a text delivery, which is written once per session and folder of tables."""
-        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        """The folder of a text delivery, which is written once per session and state of the tables' files."""
+        key = (self.spark.sparkContext.applicationId, self.folder, name, self.state)
         if key not in _DELIVERED:
             _DELIVERED[key] = settle_lines(lines(), kind)
         return _DELIVERED[key]
 
+    @cached_property
+    def state(self) -> int:
+        """A hash of names, sizes and times of the table files as they are now."""
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(self.folder)
+        return files.agg(F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")).alias("state")).first()["state"]
+
     @cached_property
     def documents(self) -> DataFrame:
         """An inventory export as JSON Lines, one record per line, read back from its files."""
