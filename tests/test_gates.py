@@ -159,3 +159,16 @@ def test_a_missing_control_total_fails_unless_told_otherwise(spark, tmp_path):
     strict = {o.check.name for o in evaluate(counted, watched) if not o.passed}
     assert strict == {"raw_fx_filas_vs_archivo"}
     assert all(o.passed for o in evaluate(counted, watched, null_passes=True))
+
+
+def test_a_run_reports_malformed_rows(spark, tmp_path):
+    folder = small_shop.deliver(small_shop.shop(), tmp_path / "in")
+    with open(f"{folder}/exchange_rates.csv", "a", encoding="utf-8") as out:
+        out.write("2023-11-29,EUR\r\n")
+    for line_breaks in (False, True):
+        run = Run(spark, SourceFiles(folder, line_breaks=line_breaks), Lake(spark, str(tmp_path / f"lake{line_breaks}"), f"bad{line_breaks}_"))
+        run.load_raw()
+        assert [tuple(r) for r in run.lake.table("audit", "malformed_rows").collect()] == [("fx", "2023-11-29,EUR")]
+        assert run.tables["raw.pos_sales"].count() == 16
+        totals = {(r.source, r.metric): int(r.value) for r in run.tables["raw.source_totals"].collect()}
+        assert totals["pos", "rows"] == 16 and totals["fx", "rows"] == run.tables["raw.fx_rates"].count()

@@ -1,5 +1,6 @@
 """Single operators against brute force, with tables that are broadcast and tables that are not."""
 
+import csv
 import json
 import random
 import statistics
@@ -15,7 +16,7 @@ from trastienda.operators.ranking import top_per_group
 from trastienda.operators.runs import zero_runs
 from trastienda.operators.validity import asof, validity_intervals
 from trastienda.plans import core, evidence, staging
-from trastienda.sources import erp, totals
+from trastienda.sources import erp, files, totals
 from trastienda.star.roles import Star
 
 SF = "/root/testdata/sf0.001"
@@ -255,3 +256,57 @@ def test_quoted_csv_fields_reach_both_paths(spark, tmp_path):
     assert as_rows(read_text_csv(spark, str(path), POS_COLUMNS), "tienda_id", "monto") == [('T "1", norte', "1.50")]
     value = {(m, d): float(v) for m, d, v in as_rows(totals.pos_totals(totals.read_lines(spark, str(path))), "metric", "dimension", "value")}
     assert value["amount_by_doc_type", "I"] == 1.5 and value["qty_by_doc_type", "I"] == 2
+
+
+BROKEN_LINES = [
+    ("1", "plain", "x"), ("2", 'with "quotes", commas', ""), ("3", "two\nlines", "y"), ("4", 'line\n\n"quoted\n" and, more\n', "z"), ("5", "", "long " * 60 + "\nend"),
+    ("6", '"', '""'), ("7", "é\n漢字\n", "t"), ("8", "\n", "\n\n"),
+]
+
+
+@pytest.mark.parametrize("split", [61, 400, 1 << 20])
+def test_csv_with_line_breaks_is_read_alike_in_any_split(spark, tmp_path, split):
+    for part in range(2):
+        with (tmp_path / f"part{part}.csv").open("w", encoding="utf-8", newline="") as out:
+            writer = csv.writer(out, lineterminator="\n")
+            writer.writerow(("id", "note", "rest"))
+            for k in range(5):
+                writer.writerows([(f"{part}-{k}-{i}", note, rest) for i, note, rest in BROKEN_LINES[k % 3 :]])
+    columns = ("id", "note", "rest")
+    whole = sorted(map(str, files.read_text_csv(spark, str(tmp_path), columns, multi_line=True).collect()))
+    with_limits = {"spark.sql.files.maxPartitionBytes": str(split), "spark.sql.files.openCostInBytes": "1"}
+    for key, value in with_limits.items():
+        spark.conf.set(key, value)
+    try:
+        read = files.read_split_csv(spark, str(tmp_path), columns)
+        assert sorted(map(str, read.collect())) == whole and len(whole) == 2 * sum(len(BROKEN_LINES[k % 3 :]) for k in range(5))
+        assert files.malformed_split_rows(spark, str(tmp_path), columns).count() == 0
+    finally:
+        for key in with_limits:
+            spark.conf.unset(key)
+
+
+def test_malformed_records_of_several_lines(spark, tmp_path):
+    (tmp_path / "in.csv").write_text('a,b\n1,"x\ny"\n2,"p\nq",3\n"4\n"\n', encoding="utf-8")
+    assert [r.row for r in files.malformed_split_rows(spark, str(tmp_path / "in.csv"), ("a", "b")).orderBy("row").collect()] == ['"4\n"', '2,"p\nq",3']
+
+
+def test_fields_that_only_some_entries_have(spark, tmp_path):
+    """Names of any kind and case, nested values, NULL and absent fields."""
+    export = {
+        "tiendas_info": [{"tienda_id": "1", "Ciudad": "Oaxaca"}, {"tienda_id": "2", "a'b \"c\"": 5, "zona.x": {"k": [1, None]}}, {"tienda_id": "3", "ciudad": "Lerma", "nada": None}],
+        "catalogo": {"productos": [{"sku_erp": "p", "peso": 1.50, "cost_history": [{"costo_mxn": 12345678901234567.5, "nota": "n"}, {"costo_mxn": None}]}, {"sku_erp": "q"}]},
+    }
+    # numbers are kept as they are written
+    text = json.dumps(export).replace("1.5,", "1.50,").replace(json.dumps(12345678901234567.5), "12345678901234567.5")
+    (tmp_path / "in.json").write_text(text, encoding="utf-8")
+    documents = erp.read_documents(spark, str(tmp_path / "in.json"))
+    stores = {r.tienda_id: r.asDict() for r in erp.stores(documents).collect()}
+    assert {k: v for k, v in stores["2"].items() if v is not None} == {"tienda_id": "2", "a'b \"c\"": "5", "zona.x": '{"k": [1, null]}'}
+    assert stores["1"]["ciudad"] == "Oaxaca" and stores["3"]["ciudad"] == "Lerma" and stores["3"]["nada"] is None
+    assert [r.asDict() for r in erp.products(documents).orderBy("sku_erp").collect()] == [
+        {"sku_erp": "p", "nombre": None, "categoria": None, "peso": "1.50"}, {"sku_erp": "q", "nombre": None, "categoria": None, "peso": None},
+    ]
+    assert sorted(map(str, [tuple(r) for r in erp.cost_history(documents).collect()])) == sorted(map(str, [("p", None, "12345678901234567.5", None, "n"), ("p", None, None, None, None)]))
+    assert {r.metric: int(r.value) for r in totals.erp_totals(documents).collect()}["cost_history"] == 2
+    assert erp.sku_mappings(documents).columns == ["sku_pos", "sku_erp", "handle"] and erp.sku_mappings(documents).count() == 0

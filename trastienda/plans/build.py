@@ -20,15 +20,19 @@ from trastienda.sources.files import (
     POS_COLUMNS,
     SourceFiles,
     file_manifest,
+    malformed_rows,
+    malformed_split_rows,
     read_orders,
+    read_split_csv,
     read_text_csv,
     require_sources,
+    split_records,
 )
 from trastienda.sources.lake import Lake
 from trastienda.sources.settle import dropped_at_end, settle
 
 Tables = dict[str, DataFrame]
-RESULTS, EVIDENCE = "quality_results", "assumption_metrics"
+RESULTS, EVIDENCE, MALFORMED = "quality_results", "assumption_metrics", "malformed_rows"
 MONTH, STOCK_MONTH = "sale_month", "snapshot_month"
 WRITERS = 4
 
@@ -36,18 +40,20 @@ WRITERS = 4
 def raw_tables(spark: SparkSession, files: SourceFiles) -> Tables:
     """Source tables as they are, and control totals and a manifest taken from the files."""
     pos, fx, export = files.path("pos"), files.path("fx"), files.path("erp")
+    read = read_split_csv if files.line_breaks else read_text_csv
+    lines = lambda path: split_records(spark, path).select(F.col("record").alias("line")) if files.line_breaks else totals.read_lines(spark, path)
     orders = read_orders(spark, files.path("ecommerce"))
     # parsed once; blocks are unnested from the stored columns
     documents = settle(erp.read_documents(spark, export))
     control = (
-        totals.pos_totals(totals.read_lines(spark, pos))
+        totals.pos_totals(lines(pos))
         .unionByName(totals.order_totals(orders))
-        .unionByName(totals.fx_totals(totals.read_lines(spark, fx), ",".join(FX_COLUMNS)))
+        .unionByName(totals.fx_totals(lines(fx), ",".join(FX_COLUMNS)))
         .unionByName(totals.erp_totals(documents))
     )
     return {
-        "raw.pos_sales": read_text_csv(spark, pos, POS_COLUMNS),
-        "raw.fx_rates": read_text_csv(spark, fx, FX_COLUMNS),
+        "raw.pos_sales": read(spark, pos, POS_COLUMNS),
+        "raw.fx_rates": read(spark, fx, FX_COLUMNS),
         "raw.ecommerce_orders": orders,
         "raw.erp_stores": erp.stores(documents),
         "raw.erp_sku_mappings": erp.sku_mappings(documents),
@@ -60,6 +66,13 @@ def raw_tables(spark: SparkSession, files: SourceFiles) -> Tables:
     }
 
 
+def malformed(spark: SparkSession, files: SourceFiles) -> DataFrame:
+    """(source, row): the rows of the CSV sources that have more or fewer fields than their header."""
+    find = malformed_split_rows if files.line_breaks else malformed_rows
+    rows = [find(spark, files.path(source), columns).select(F.lit(source).alias("source"), "row") for source, columns in (("pos", POS_COLUMNS), ("fx", FX_COLUMNS))]
+    return rows[0].unionByName(rows[1])
+
+
 def staging_tables(spark: SparkSession, t: Tables, formats: KeyFormats = KeyFormats()) -> Tables:
     return {
         "stg.ref_doc_types": staging.ref_doc_types(spark),
@@ -110,6 +123,7 @@ class Run:
         raw = raw_tables(self.spark, self.files)
         # One JSON document is unnested by one task; spread its rows before they are stored.
         raw["raw.erp_snapshots"] = raw["raw.erp_snapshots"].hint("rebalance")
+        raw[f"audit.{MALFORMED}"] = malformed(self.spark, self.files)
         self.store_all(raw)
 
     def build_staging(self) -> None:
@@ -183,7 +197,7 @@ class Run:
 
     def export(self, folder: str) -> None:
         """Every mart and audit table as CSV, and the report tables beside them."""
-        exported = [n for n in self.tables if n.startswith(("mart.", "audit."))]
+        exported = [n for n in self.tables if n.startswith(("mart.", "audit.")) and n != f"audit.{MALFORMED}"]
         outputs = {f"{folder}/marts/{name.split('.')[1]}": self.tables[name] for name in exported}
         outputs |= {f"{folder}/reports/{name}": report(self.tables) for name, report in reports.REPORTS.items()}
         with ThreadPoolExecutor(WRITERS) as pool:

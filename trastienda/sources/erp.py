@@ -10,17 +10,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The blocks of the export and their fields.
+# An entry of a block with all of its fields as text, whatever they are called; nested values are JSON text.
+ENTRIES = "ARRAY<MAP<STRING, STRING>>"
+# The blocks of the export, and the fields that later layers read.
 BLOCKS = {
     "metadata": "MAP<STRING, STRING>",
-    "tiendas_info": "ARRAY<STRUCT<tienda_id: STRING, ciudad: STRING, region: STRING, timezone: STRING>>",
-    "sku_mappings": "ARRAY<STRUCT<sku_pos: STRING, sku_erp: STRING, handle: STRING>>",
-    "catalogo": (
-        "STRUCT<productos: ARRAY<STRUCT<sku_erp: STRING, nombre: STRING, categoria: STRING, cost_history: "
-        "ARRAY<STRUCT<fecha_vigencia: STRING, costo_mxn: STRING, proveedor: STRING>>>>>"
-    ),
+    "tiendas_info": ENTRIES,
+    "sku_mappings": ENTRIES,
+    "catalogo": f"STRUCT<productos: {ENTRIES}>",
     "snapshots": "ARRAY<STRUCT<fecha: STRING, tienda_id: STRING, sku_erp: STRING, cantidad_en_stock: VARIANT>>",
 }
+FIELDS = {
+    "stores": ("tienda_id", "ciudad", "region", "timezone"),
+    "sku_mappings": ("sku_pos", "sku_erp", "handle"),
+    "products": ("sku_erp", "nombre", "categoria"),
+    "cost_history": ("fecha_vigencia", "costo_mxn", "proveedor"),
+}
+COSTS = "cost_history"
 
 
 def document_schema(*blocks: str) -> str:
@@ -59,21 +65,45 @@ def json_type(value: Column) -> Column:
     return F.try_element_at(names, kind)
 
 
+def as_columns(entries: DataFrame, known: tuple[str, ...], without: tuple[str, ...] = (), keys: tuple[str, ...] = ()) -> DataFrame:
+    """A text column for every field that any `entry` has: the known ones first, then the others by name.
+
+    One pass merges the field names, of which each task passes on one of a kind; a field that only some
+    entries have is NULL in the rest. Names that differ in case alone are one column. `keys` are kept in front.
+    """
+    names = [r[0] for r in entries.select(F.explode(F.map_keys("entry"))).distinct().collect()]
+    columns = {name.lower(): [name] for name in known}
+    taken = {name.lower() for name in (*without, *keys)}
+    for name in sorted(names):
+        same = columns.setdefault(name.lower(), [])
+        if name not in same:
+            same.append(name)
+    read = [F.coalesce(*[F.try_element_at("entry", F.lit(n)) for n in same]).alias(same[0]) for lower, same in columns.items() if lower not in taken]
+    return entries.select(*keys, *read)
+
+
 def stores(documents: DataFrame) -> DataFrame:
-    return documents.select(F.inline("tiendas_info"))
+    return as_columns(documents.select(F.explode("tiendas_info").alias("entry")), FIELDS["stores"])
 
 
 def sku_mappings(documents: DataFrame) -> DataFrame:
-    return documents.select(F.inline("sku_mappings"))
+    return as_columns(documents.select(F.explode("sku_mappings").alias("entry")), FIELDS["sku_mappings"])
 
 
 def products(documents: DataFrame) -> DataFrame:
-    return documents.select(F.inline("catalogo.productos")).drop("cost_history")
+    return as_columns(documents.select(F.explode("catalogo.productos").alias("entry")), FIELDS["products"], without=(COSTS,))
 
 
 def cost_history(documents: DataFrame) -> DataFrame:
-    """One row per product and cost entry, with the product key of the outer level."""
-    return documents.select(F.inline("catalogo.productos")).select("sku_erp", F.inline("cost_history"))
+    """One row per product and cost entry, with the product key of the outer level.
+
+    The entries are parsed as variants, which keep numbers of any length, and then written as text.
+    """
+    product = documents.select(F.explode("catalogo.productos").alias("product"))
+    parsed = F.from_json(F.try_element_at("product", F.lit(COSTS)), "ARRAY<MAP<STRING, VARIANT>>")
+    entries = F.explode(F.transform(parsed, lambda e: F.transform_values(e, lambda _, value: value.cast("string"))))
+    costs = product.select(F.try_element_at("product", F.lit("sku_erp")).alias("sku_erp"), entries.alias("entry"))
+    return as_columns(costs, FIELDS[COSTS], keys=("sku_erp",))
 
 
 def snapshots(documents: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from functools import reduce
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trastienda.sources.settle import settle
@@ -39,6 +39,8 @@ class SourceFiles:
             "fx": "exchange_rates.csv",
         }
     )
+    #: Whether quoted fields of the CSV sources hold line breaks.
+    line_breaks: bool = False
 
     def path(self, source: str) -> str:
         return f"{self.folder.rstrip('/')}/{self.names[source]}"
@@ -66,7 +68,7 @@ def read_text_csv(spark: SparkSession, path: str, columns: tuple[str, ...], mult
     """A CSV with header in which every field stays text; an empty field is NULL.
 
     With `multi_line` a quoted field may hold line breaks; each file is then read by one
-    task, so such deliveries should come in parts.
+    task. `read_split_csv` reads such files in splits.
     """
     return _csv(spark, path, text_schema(columns), multi_line)
 
@@ -79,6 +81,62 @@ def malformed_rows(spark: SparkSession, path: str, columns: tuple[str, ...], mul
     return settle(read.where(F.col(MALFORMED).isNotNull()).select(columns[0], F.col(MALFORMED).alias("row")))
 
 
+def split_records(spark: SparkSession, path: str) -> DataFrame:
+    """(path, first, record): the records of CSV files whose quoted fields may hold line breaks, read in splits.
+
+    A task reads the lines of a byte range and can't know whether it begins inside a quoted field. An odd
+    number of quotes in a range turns that over for the next one, so a running sum of the ranges' quotes tells
+    for each how it begins, and a running sum inside it where records start. Records of one line are
+    ready there; the lines of the others are brought together, also over ranges. `first` marks a file's first record.
+    """
+    where = F.col("_metadata")
+    source = spark.read.option("lineSep", "\n").text(path).select(
+        where["file_path"].alias("path"), where["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("line")
+    )
+    # written once, so that the ranges are the same for both passes
+    lines = settle(source.withColumn("quotes", F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))))
+    in_file, in_range = Window.partitionBy("path").orderBy("block"), Window.partitionBy("path", "block").orderBy("at")
+    before = lambda window: window.rowsBetween(Window.unboundedPreceding, -1)
+    ranges = lines.groupBy("path", "block").agg(F.sum("quotes").alias("quotes"))
+    ranges = ranges.select("path", "block", F.coalesce(F.sum("quotes").over(before(in_file)), F.lit(0)).alias("quotes_before"))
+    run = F.col("quotes_before") + F.coalesce(F.sum("quotes").over(before(in_range)), F.lit(0))
+    starts = lines.join(ranges, ["path", "block"]).withColumn("starts", run % 2 == 0)
+    numbered = settle(starts.withColumn("number", F.sum(F.col("starts").cast("long")).over(in_range)))
+    # a line that belongs to a record of an earlier range is counted to the last range with a start
+    counts = numbered.groupBy("path", "block").agg(F.max("number").alias("records"))
+    owner = F.last(F.when(F.col("records") > 0, F.struct("block", "records")), True).over(before(in_file))
+    owners = counts.select("path", "block", owner.alias("owner"))
+    one_line = numbered.where("starts AND quotes % 2 = 0").select("path", ((F.col("block") == 0) & (F.col("number") == 1)).alias("first"), F.col("line").alias("record"))
+    parts = numbered.where("NOT starts OR quotes % 2 = 1").join(owners, ["path", "block"])
+    own = F.struct("block", F.col("number").alias("records"))
+    parts = parts.withColumn("record", F.when(F.col("number") > 0, own).otherwise(F.col("owner")))
+    together = parts.groupBy("path", "record").agg(F.array_sort(F.collect_list(F.struct("block", "at", "line"))).alias("lines"))
+    joined = together.select(
+        "path",
+        ((F.col("record.block") == 0) & (F.col("record.records") == 1)).alias("first"),
+        F.array_join(F.col("lines.line"), "\n").alias("record"),
+    )
+    records = one_line.unionByName(joined).withColumn("record", F.regexp_replace("record", "\r$", ""))
+    return records.withColumn("record", F.when(F.col("first"), F.regexp_replace("record", "^\ufeff", "")).otherwise(F.col("record"))).where("record <> ''")
+
+
+def read_split_csv(spark: SparkSession, path: str, columns: tuple[str, ...], header: bool = True) -> DataFrame:
+    """Like `read_text_csv` with `multi_line`, but a file of any size is read by many tasks."""
+    return _parsed(spark, path, columns, header).select(*columns)
+
+
+def malformed_split_rows(spark: SparkSession, path: str, columns: tuple[str, ...], header: bool = True) -> DataFrame:
+    """(row): the records that have more or fewer fields than the header, as they stand in the file."""
+    return _parsed(spark, path, columns, header).where(F.col(MALFORMED).isNotNull()).select(F.col(MALFORMED).alias("row"))
+
+
+def _parsed(spark: SparkSession, path: str, columns: tuple[str, ...], header: bool) -> DataFrame:
+    records = split_records(spark, path)
+    records = records.where(~F.col("first")) if header else records
+    parsed = F.from_csv("record", f"{text_schema(columns)}, {MALFORMED} STRING", {"escape": '"', "columnNameOfCorruptRecord": MALFORMED})
+    return records.select(F.inline(F.array(parsed)))
+
+
 def _csv(spark: SparkSession, path: str, schema: str, multi_line: bool, **options: bool) -> DataFrame:
     return (
         spark.read.schema(schema)

@@ -104,7 +104,7 @@ def erp_totals(documents: DataFrame) -> DataFrame:
         F.size("sku_mappings").alias("sku_mappings"),
         F.size("catalogo.productos").alias("products"),
         F.aggregate(
-            "catalogo.productos", F.lit(0), lambda n, p: n + F.greatest(F.size(p["cost_history"]), F.lit(0))
+            "catalogo.productos", F.lit(0), lambda n, p: n + F.coalesce(F.json_array_length(F.try_element_at(p, F.lit("cost_history"))), F.lit(0))
         ).alias("cost_history"),
         F.size("snapshots").alias("snapshots"),
         F.size(F.filter(stock, lambda v: F.coalesce(v.cast("string") == "N/A", F.lit(False)))).alias(

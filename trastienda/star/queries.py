@@ -7,6 +7,7 @@ engines can be compared value by value.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from trastienda.plans import core, evidence, growth, margin, reports, rotation,
 from trastienda.quality import checks
 from trastienda.quality.privacy import personal_values
 from trastienda.sources import erp, totals
-from trastienda.sources.files import file_manifest
+from trastienda.sources.files import file_manifest, read_split_csv
 from trastienda.sources.settle import settle
 from trastienda.star.roles import STAR_FORMATS, Star, erp_key
 
@@ -295,6 +296,24 @@ def erp_catalogue(star: Star) -> DataFrame:
     )
 
 
+@query
+def erp_fields(star: Star) -> DataFrame:
+    """Every field of stores, products and costs, also those that only some entries have."""
+    documents = star.uneven_documents
+    blocks = {"store": (erp.stores(documents), ["tienda_id"]), "product": (erp.products(documents), ["sku_erp"]), "cost": (erp.cost_history(documents), ["sku_erp"])}
+    long = [
+        table.unpivot(keys, [c for c in table.columns if c not in keys], "field", "value").select(F.lit(block).alias("block"), F.col(keys[0]).alias("key"), "field", "value")
+        for block, (table, keys) in blocks.items()
+    ]
+    return reduce(DataFrame.unionByName, long).where(F.col("value").isNotNull())
+
+
+@query
+def csv_rows(star: Star) -> DataFrame:
+    """Rows of a CSV whose quoted fields hold line breaks, read in splits."""
+    return read_split_csv(star.spark, star.broken_lines, ("sale_id", "note", "qty"), header=False).withColumn("qty", F.col("qty").cast("bigint"))
+
+
 @query
 def variant_types(star: Star) -> DataFrame:
     """JSON types and values inside the event properties."""

@@ -418,6 +418,43 @@ class Star:
         lines = snapshots.union(products).union(stores).union(mappings)
         return erp.read_documents(self.spark, self.delivery("export", lambda: lines, "jsonl"))
 
+    @cached_property
+    def uneven_documents(self) -> DataFrame:
+        """A catalogue export in which some entries have fields that the others lack."""
+        some = lambda condition, value: F.when(condition, value)
+        supplier, part = self.table("supplier"), self.table("part")
+        store = F.struct(
+            store_key(F.col("s_suppkey")).alias("tienda_id"),
+            F.col("s_name").alias("ciudad"),
+            some(F.col("s_acctbal") < 0, F.col("s_acctbal").cast(MONEY)).alias("saldo"),
+            some(F.col("s_nationkey") < 5, F.struct(F.col("s_nationkey").alias("clave"), F.lit("México, D.F.").alias("sede"))).alias("oficina"),
+        )
+        cost = F.struct(
+            F.lit(COST_STEPS[0][0]).alias("fecha_vigencia"),
+            F.col("p_retailprice").cast(COST).cast("string").alias("costo_mxn"),
+            some(F.col("p_size") >= 40, F.col("p_brand")).alias("lote del proveedor"),
+        )
+        product = F.struct(
+            erp_key(F.col("p_partkey")).alias("sku_erp"),
+            F.col("p_name").alias("nombre"),
+            some(F.col("p_size") < 10, F.col("p_size")).alias("medida"),
+            some(F.col("p_type") == "ECONOMY", F.lit(True)).alias("económico"),
+            F.array(cost).alias("cost_history"),
+        )
+        block = lambda name, entry: F.to_json(F.struct(F.array(entry).alias(name)))
+        lines = supplier.select(block("tiendas_info", store).alias("line")).union(
+            part.select(F.to_json(F.struct(F.struct(F.array(product).alias("productos")).alias("catalogo"))))
+        )
+        return erp.read_documents(self.spark, self.delivery("uneven", lambda: lines, "jsonl"))
+
+    @cached_property
+    def broken_lines(self) -> str:
+        """The folder of a CSV delivery in which some quoted fields hold line breaks, quotes and commas."""
+        note = F.when(F.col("l_tax") >= 0.04, F.concat("l_returnflag", F.lit('\n"'), "l_linestatus", F.lit('",\n\n'), F.date_format("l_shipdate", "yyyy-MM-dd"))).otherwise(F.col("l_returnflag"))
+        quoted = F.concat(F.lit('"'), F.replace(note, F.lit('"'), F.lit('""')), F.lit('"'))
+        lines = self.table("lineitem").select(F.concat_ws(",", F.concat_ws("-", "l_orderkey", "l_linenumber"), quoted, F.col("l_quantity").cast("int")).alias("line"))
+        return self.delivery("line breaks", lambda: lines, "csv")
+
     @cached_property
     def source_totals(self) -> DataFrame:
         """Control totals of the deliveries."""
