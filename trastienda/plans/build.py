@@ -28,6 +28,7 @@ from trastienda.sources.files import (
     require_sources,
     split_records,
 )
+from trastienda.sources.json_split import as_lines
 from trastienda.sources.lake import Lake
 from trastienda.sources.settle import dropped_at_end, settle
 
@@ -44,7 +45,7 @@ def raw_tables(spark: SparkSession, files: SourceFiles) -> Tables:
     lines = lambda path: split_records(spark, path).select(F.col("record").alias("line")) if files.line_breaks else totals.read_lines(spark, path)
     orders = read_orders(spark, files.path("ecommerce"))
     # parsed once; blocks are unnested from the stored columns
-    documents = settle(erp.read_documents(spark, export))
+    documents = settle(erp.read_documents(spark, as_lines(spark, export) if files.split_export else export))
     control = (
         totals.pos_totals(lines(pos))
         .unionByName(totals.order_totals(orders))

@@ -2,7 +2,7 @@
 
 An export is either one JSON document or JSON Lines in which every line is a
 document holding some of the blocks. Lines are split over tasks; one document is
-a single task up to the unnesting, so large exports should come as lines.
+a single task up to the unnesting unless `json_split.as_lines` deals it out as lines first.
 """
 
 from __future__ import annotations

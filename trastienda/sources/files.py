@@ -41,6 +41,8 @@ class SourceFiles:
     )
     #: Whether quoted fields of the CSV sources hold line breaks.
     line_breaks: bool = False
+    #: Whether the inventory export is so large a document that it is read in byte ranges.
+    split_export: bool = False
 
     def path(self, source: str) -> str:
         return f"{self.folder.rstrip('/')}/{self.names[source]}"

@@ -308,6 +308,12 @@ def erp_fields(star: Star) -> DataFrame:
     return reduce(DataFrame.unionByName, long).where(F.col("value").isNotNull())
 
 
+@query
+def json_ranges(star: Star) -> DataFrame:
+    """Stock records of large JSON documents that are read in byte ranges, with the JSON type of each value."""
+    return erp.snapshots(star.split_documents).where(F.col("fecha").isNotNull())
+
+
 @query
 def csv_rows(star: Star) -> DataFrame:
     """Rows of a CSV whose quoted fields hold line breaks, read in splits."""

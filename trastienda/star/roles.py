@@ -9,10 +9,11 @@ missing from the mappings.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ from trastienda.functions.keys import KeyFormats, slug
 from trastienda.functions.literals import known_values
 from trastienda.operators.validity import validity_intervals
 from trastienda.plans import core, growth, margin, rotation, staging, stockouts
-from trastienda.sources import erp, totals
+from trastienda.sources import erp, json_split, totals
 from trastienda.sources.files import FX_COLUMNS
 from trastienda.sources.settle import settle_all, settle_lines
 
@@ -447,6 +448,21 @@ class Star:
         )
         return erp.read_documents(self.spark, self.delivery("uneven", lambda: lines, "jsonl"))
 
+    @cached_property
+    def split_documents(self) -> DataFrame:
+        """The stock records as one JSON document (whose lines break between and inside entries), read in byte ranges."""
+        entry = F.format_string(
+            '{"fecha": "%s",\n "tienda_id": "S%s", "sku_erp": "ERP-%s",\n "cantidad_en_stock": %s}',
+            F.date_format("l_shipdate", "yyyy-MM-dd"),
+            "l_suppkey",
+            "l_partkey",
+            F.when(F.col("l_linestatus") == "F", F.col("l_quantity").cast("int").cast("string")).otherwise(F.lit('"}{ N/A"')),
+        )
+        entries = self.table("lineitem").select(F.concat(entry, F.lit(",")).alias("line"))
+        # each part file is a document of its own: framed by the first and last line of its task
+        framed = entries.mapInPandas(_document, "line string")
+        return erp.read_documents(self.spark, json_split.as_lines(self.spark, self.delivery("one document", lambda: framed, "json")))
+
     @cached_property
     def broken_lines(self) -> str:
         """The folder of a CSV delivery in which some quoted fields hold line breaks, quotes and commas."""
@@ -566,6 +582,13 @@ class Star:
         return stockouts.stores_with_stockouts(self.stockout_runs, self.event_stores, EVENT_RUN_DAYS)
 
 
+def _document(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The lines of a task as the entries of one document."""
+    yield pd.DataFrame({"line": ['{"metadata": {"fuente": "x"}, "snapshots": [']})
+    yield from batches
+    yield pd.DataFrame({"line": ["{}]}"]})
+
+
 def store_key(number: Column) -> Column:
     return F.concat(F.lit("S"), number.cast("string"))
 
