@@ -9,14 +9,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trastienda.functions.amounts import COST
+from trastienda.functions.amounts import COST, MONEY
 from trastienda.functions.keys import expected_handle, key_number, slug
 from trastienda.functions.literals import known_values
 from trastienda.operators.reconcile import totals_by_dimension, unreconciled
+from trastienda.operators.row_sketch import differing_rows
 from trastienda.operators.validity import asof, validity_intervals
 from trastienda.plans import core, evidence, growth, margin, reports, rotation, staging
 from trastienda.quality import checks
@@ -429,6 +430,17 @@ def grid_completeness(star: Star) -> DataFrame:
     return result
 
 
+@query
+def reconcile_rows(star: Star) -> DataFrame:
+    """Sales whose amounts were exchanged inside an order, so that every total agrees, row by row."""
+    sales = star.table("lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", F.col("l_extendedprice").cast(MONEY).alias("amount"))
+    pair = (F.col("l_orderkey") % 997 == 0) & F.col("l_linenumber").isin(1, 2)
+    order = Window.partitionBy("l_orderkey")
+    other = F.sum(F.when(pair, F.col("amount"))).over(order) - F.col("amount")
+    swapped = sales.withColumn("amount", F.when(pair & (F.count_if(pair).over(order) == 2), other).otherwise(F.col("amount")).cast(MONEY))
+    return differing_rows(sales, swapped, ["l_orderkey", "l_linenumber"], ["l_returnflag", "amount"])
+
+
 @query
 def reconcile_full_outer(star: Star) -> DataFrame:
     """Typed sales per document type against totals of the text delivery, whose unreadable amounts are missing."""
