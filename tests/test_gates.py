@@ -145,6 +145,26 @@ def test_results_are_stored_before_the_run_stops(spark, tmp_path):
     assert not [n for n in run.tables if n.startswith("core.")]
 
 
+def test_a_failed_run_leaves_the_former_one_readable(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"), "former_")
+    good = Run(spark, SourceFiles(small_shop.deliver(small_shop.shop(), tmp_path / "in")), lake)
+    good.run()
+    seen = {name: sorted(map(str, frame.collect())) for name, frame in lake.tables("core", "mart", "audit").items()}
+    assert len(seen["core.fct_sales"]) == 20 and len(seen["audit.quality_results"]) == 54
+    data = small_shop.shop()
+    data["pos"] = data["pos"][:9]
+    data["pos"][2]["moneda"] = "JPY"
+    bad = Run(spark, SourceFiles(small_shop.deliver(data, tmp_path / "next")), lake)
+    with pytest.raises(QualityCheckError):
+        bad.run()
+    assert {name: sorted(map(str, frame.collect())) for name, frame in lake.tables("core", "mart", "audit").items()} == seen
+    assert bad.lake.table("audit", "quality_results").where("NOT passed").count() == 1
+    bad.lake.drop()
+    with pytest.raises(ValueError, match="reads this run"):
+        good.lake.drop()
+    assert lake.table("core", "fct_sales").count() == 20
+
+
 def test_missing_sources_are_all_named(spark, tmp_path):
     run = Run(spark, SourceFiles(str(tmp_path)), Lake(spark, str(tmp_path / "lake"), "none_"))
     with pytest.raises(FileNotFoundError, match="sales.csv, inventory.json, ecommerce_orders.parquet, exchange_rates.csv"):

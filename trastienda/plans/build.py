@@ -89,7 +89,8 @@ def staging_tables(spark: SparkSession, t: Tables, formats: KeyFormats = KeyForm
 
 
 class Run:
-    """One rebuild of all layers in a lake. Every layer is stored before the next reads it."""
+    """One rebuild of all layers in a draft of a lake. Every layer is stored before the next reads it; readers see all
+    of them once the last gate has passed, and the former run until then."""
 
     def __init__(self, spark: SparkSession, files: SourceFiles, lake: Lake, formats: KeyFormats = KeyFormats()):
         self.spark, self.files, self.lake, self.formats = spark, files, lake, formats
@@ -206,7 +207,7 @@ class Run:
                 done.result()
 
     def run(self, export_to: str | None = None) -> Tables:
-        self.lake.clear()
+        self.lake = self.lake.draft(f"run{self.run_id}")
         with dropped_at_end():
             self.load_raw()
         self.build_staging()
@@ -217,6 +218,7 @@ class Run:
         self.gate(checks.MARTS)
         self.tables[f"audit.{RESULTS}"] = self.lake.table("audit", RESULTS)
         self.store(f"audit.{EVIDENCE}", evidence.assumption_metrics(self.tables))
+        self.lake.publish()
         if export_to is not None:
             self.export(export_to)
         return self.tables

@@ -6,6 +6,7 @@ engines can be compared value by value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -22,8 +23,11 @@ from trastienda.operators.validity import asof, validity_intervals
 from trastienda.plans import core, evidence, growth, margin, reports, rotation, staging
 from trastienda.quality import checks
 from trastienda.quality.privacy import personal_values
+from trastienda.session import shared_folder
 from trastienda.sources import erp, totals
-from trastienda.sources.files import file_manifest, read_split_csv
+from trastienda.sources.csv_export import export_csv
+from trastienda.sources.files import file_manifest, read_split_csv, read_text_csv
+from trastienda.sources.lake import Lake
 from trastienda.sources.settle import settle
 from trastienda.star.roles import STAR_FORMATS, Star, erp_key
 
@@ -309,6 +313,35 @@ def erp_fields(star: Star) -> DataFrame:
     return reduce(DataFrame.unionByName, long).where(F.col("value").isNotNull())
 
 
+@query
+def layer_roundtrip(star: Star) -> DataFrame:
+    """Sales written in two steps by a published run, as readers see them while a later run is still at work."""
+    name = uuid.uuid4().hex[:12]
+    lake = Lake(star.spark, f"{shared_folder(star.spark)}/layers-{name}", f"trip_{name}_")
+    sales = star.pos.withColumn("sale_month", F.trunc("sale_ts", "MM"))
+    first, later = lake.draft("first"), lake.draft("later")
+    first.write("core", "sales", sales.where("doc_type = 'I'"), ("sale_month",))
+    first.write("core", "sales", sales.where("doc_type <> 'I'"), ("sale_month",), append=True)
+    first.publish()
+    later.write("core", "sales", sales.where("doc_type = 'E'"))
+    seen = lake.table("core", "sales")
+    return seen.groupBy("sale_month", "doc_type").agg(F.count("*").alias("n"), F.sum("qty").alias("qty"))
+
+
+@query
+def csv_export_roundtrip(star: Star) -> DataFrame:
+    """The catalogue exported as CSV with its mark, and read back as text."""
+    folder = f"{shared_folder(star.spark)}/export-{uuid.uuid4().hex}"
+    export_csv(star.products.select("sku_erp", "sku_num", "product_name", "category"), folder)
+    return read_text_csv(star.spark, folder, ("sku_erp", "sku_num", "product_name", "category"))
+
+
+@query
+def metadata_rows(star: Star) -> DataFrame:
+    """The metadata of an export as one text row for each document, with the documents that have it counted."""
+    return erp.metadata(star.split_documents).groupBy("fuente").agg((F.count("*") > 0).alias("found"))
+
+
 @query
 def json_ranges(star: Star) -> DataFrame:
     """Stock records of large JSON documents that are read in byte ranges, with the JSON type of each value."""
