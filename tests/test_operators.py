@@ -310,3 +310,19 @@ def test_fields_that_only_some_entries_have(spark, tmp_path):
     assert sorted(map(str, [tuple(r) for r in erp.cost_history(documents).collect()])) == sorted(map(str, [("p", None, "12345678901234567.5", None, "n"), ("p", None, None, None, None)]))
     assert {r.metric: int(r.value) for r in totals.erp_totals(documents).collect()}["cost_history"] == 2
     assert erp.sku_mappings(documents).columns == ["sku_pos", "sku_erp", "handle"] and erp.sku_mappings(documents).count() == 0
+
+
+def test_rate_caps_without_a_window(spark):
+    """The flag as a rule over each row's currency, with NULLs and ties, and no window in the plan."""
+    rng = random.Random(7)
+    rows = [(k, rng.choice(["USD", "EUR", "GBP", None]), rng.choice([None, None, 19.0, 20.0, 20.5, 20.5])) for k in range(60)] + [(100 + k, "JPY", None) for k in range(5)] + [(200, "CAD", None)]
+    flagged = staging.flag_rate_cap(spark.createDataFrame(rows, "rate_date int, currency string, rate_to_mxn double"))
+    assert "Window" not in flagged._jdf.queryExecution().executedPlan().toString()
+
+    def flag(currency, rate):
+        of = [r for _, c, r in rows if c == currency]
+        if rate is None:
+            return None if of.count(None) > 3 else False
+        return rate == max(r for r in of if r is not None) and of.count(rate) > 3
+
+    assert {r.rate_date: r.is_suspected_cap for r in flagged.collect()} == {k: flag(c, r) for k, c, r in rows}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trastienda.functions.amounts import COST, MONEY, RATE
@@ -79,14 +79,21 @@ def fx_rates(raw: DataFrame) -> DataFrame:
 
 
 def flag_rate_cap(rates: DataFrame, repeats: int = CAP_REPEATS) -> DataFrame:
-    """Flag a currency's highest rate where that exact value occurs more than `repeats` times.
+    """Flag a currency's highest rate where that exact value occurs more than `repeats` times; NULL for an unreadable rate
+    among more than `repeats` of them.
 
-    Rates are one row per currency and day, so a currency's partition is bounded by
-    the calendar.
+    Rates are counted by value, and the values of a currency shrink to the highest one with its count, so that no task
+    holds a currency's rates, however often they are repeated.
     """
-    highest = F.max("rate_to_mxn").over(Window.partitionBy("currency"))
-    same = F.count("*").over(Window.partitionBy("currency", "rate_to_mxn"))
-    return rates.withColumn("is_suspected_cap", (F.col("rate_to_mxn") == highest) & (same > repeats))
+    values = rates.groupBy("currency", "rate_to_mxn").agg(F.count("*").alias("n"))
+    rate = F.col("rate_to_mxn")
+    tops = values.groupBy(F.col("currency").alias("_currency")).agg(
+        F.max(F.when(rate.isNotNull(), F.struct(rate.alias("rate"), "n"))).alias("_top"), F.max(F.when(rate.isNull(), F.col("n"))).alias("_unread")
+    )
+    known = (rate == F.col("_top.rate")) & (F.col("_top.n") > repeats)
+    unread = F.lit(None).cast("boolean") & (F.col("_unread") > repeats)
+    flag = F.when(rate.isNull(), unread).otherwise(known)
+    return rates.join(tops, F.col("currency").eqNullSafe(F.col("_currency")), "left").select(*rates.columns, flag.alias("is_suspected_cap"))
 
 
 def stores(raw: DataFrame) -> DataFrame:
