@@ -145,6 +145,38 @@ def test_and_so_it_is_without_a_broadcast(spark, no_broadcast):
     assert as_rows(found, "k", "d", "cost") == expected
 
 
+def test_a_hot_key_with_many_steps_is_many_small_groups(spark, no_broadcast):
+    """A third of the sales and 1,000 steps belong to one product; no cell of it holds many steps or sales."""
+    first, days = date(2020, 1, 1).toordinal(), 1000
+    sales = [(0 if n % 3 == 0 else n % 40 + 1, first + n * 7 % days) for n in range(9000)]
+    steps = [(0, first + n, n) for n in range(days)] + [(k, first + 100 * (k % 3), -k) for k in range(1, 30)]
+    sales, dated = [(k, date.fromordinal(d)) for k, d in sales], [(k, date.fromordinal(d), c) for k, d, c in steps]
+    facts = spark.createDataFrame([*sales, (0, date(9999, 12, 31)), (0, None), (None, date(2020, 1, 1)), (99, date(2020, 1, 1))], "k INT, d DATE")
+    intervals = validity_intervals(spark.createDataFrame(dated, "k INT, valid_from DATE, cost INT"), "k", "valid_from")
+    also = spark.createDataFrame([(0, "a"), (0, "b"), (5, "c")], "k INT, name STRING")
+    cost = {}
+    for k, d in sales:
+        cost[k, d] = max(((since, c) for key, since, c in dated if key == k and since <= d), default=(None, None))[1]
+    names = {0: "ab", 5: "c"}
+    odd = [(0, date(9999, 12, 31), n, days - 1) for n in "ab"] + [(0, None, n, None) for n in "ab"] + [(None, date(2020, 1, 1), None, None), (99, date(2020, 1, 1), None, None)]
+    expected = [(k, d, n, cost[k, d]) for k, d in sales for n in names.get(k, [None])] + odd
+    found = asof(facts, intervals, "k", "d", also=also)
+    assert sorted(as_rows(found, "k", "d", "name", "cost"), key=repr) == sorted(expected, key=repr)
+    spread = facts.where("k = 0").groupBy(F.floor(F.unix_date("d") / 32)).count().agg(F.max("count"), F.count("*")).first()
+    assert spread[0] <= 120 and spread[1] >= 31
+    joined = as_rows(asof(facts, intervals, "k", "d", also=also, cell_days=1), "k", "d", "name", "cost")
+    assert sorted(joined, key=repr) == sorted(expected, key=repr)
+
+
+def test_an_open_interval_and_a_wrong_date_add_no_cells(spark):
+    """Sales in the years 1 and 9999 cost two cells, not all that lie between."""
+    facts = spark.createDataFrame([(1, date(1, 1, 1)), (1, date(9999, 12, 31)), (1, date(2024, 1, 1))], "k INT, d DATE")
+    held = spark.createDataFrame([(1, date(1, 1, 1), date(9999, 12, 31), 7)], "k INT, valid_from DATE, valid_to DATE, cost INT")
+    plan = asof(facts, held, "k", "d")
+    assert [r.cost for r in plan.collect()] == [7, 7, 7]
+    assert "sequence" not in plan._jdf.queryExecution().toString()
+
+
 def test_large_and_small_cost_tables_give_the_same_facts(spark):
     star = Star(spark, SF)
     small = core.with_product(star.lines, star.dim_product, star.costs, star.products)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trastienda.functions.dates import OPEN_END
 
+#: Days of a cell; a fact meets the intervals of its key that touch its cell.
+CELL_DAYS = 32
+
 
 def validity_intervals(frame: DataFrame, key: str, valid_from: str) -> DataFrame:
     """Add `valid_to`: the day before the next start of the same key, or the open end."""
@@ -20,12 +23,41 @@ def validity_intervals(frame: DataFrame, key: str, valid_from: str) -> DataFrame
     )
 
 
-def asof(facts: DataFrame, intervals: DataFrame, key: str, day: str) -> DataFrame:
+def asof(facts: DataFrame, intervals: DataFrame, key: str, day: str, also: DataFrame | None = None, cell_days: int = CELL_DAYS) -> DataFrame:
     """Left join to every interval of the key that holds the day.
 
     Sources with repeated keys or dates may give several; each is a row, whichever way the
-    join is carried out. Intervals that end before they start hold no day.
+    join is carried out. Intervals that end before they start hold no day. With `also`, the
+    facts are left joined to its rows of the key in the same join.
+
+    The days of a key are cut into cells, so a key with many facts or many intervals is many
+    small groups. Every interval is handed to the cells that it touches, and only to those in
+    which its key has facts: an open interval or a wrong date adds no cells. The lists are bounded: cells of a
+    key by the calendar, steps of a cell by its days for each repetition of the key.
     """
-    held = intervals.where(F.col("valid_from") <= F.col("valid_to")).select(F.col(key).alias("_key"), *[c for c in intervals.columns if c != key])
-    matches = (F.col(key) == F.col("_key")) & F.col(day).between(F.col("valid_from"), F.col("valid_to"))
-    return facts.join(held, matches, "left").drop("_key", "valid_from", "valid_to")
+
+    def cell(date: Column) -> Column:
+        return F.floor(F.unix_date(date) / cell_days)
+
+    values = [c for c in intervals.columns if c not in (key, "valid_from", "valid_to")]
+    sold = facts.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"), cell(F.col(day)).alias("_cell")).distinct()
+    cells = sold.groupBy("_key").agg(F.collect_list("_cell").alias("_cells"))
+    touched = F.filter("_cells", lambda c: c.between(cell(F.col("valid_from")), cell(F.col("valid_to"))))
+    steps = (
+        intervals.where(F.col("valid_from") <= F.col("valid_to"))
+        .withColumnRenamed(key, "_key")
+        .join(cells, "_key")
+        .select("_key", F.explode(touched).alias("_cell"), F.struct("valid_from", "valid_to", *values).alias("_step"))
+        .groupBy("_key", "_cell")
+        .agg(F.collect_list("_step").alias("_steps"))
+    )
+    added = []
+    if also is not None:
+        added = [c for c in also.columns if c != key]
+        # facts without a day have a cell of their own, which no interval touches
+        known = sold.join(also.withColumnRenamed(key, "_key"), "_key", "left")
+        steps = known.join(steps, ["_key", "_cell"], "left")
+    met = facts.join(steps, (F.col(key) == F.col("_key")) & cell(F.col(day)).eqNullSafe(F.col("_cell")), "left")
+    holds = F.filter("_steps", lambda step: F.col(day).between(step["valid_from"], step["valid_to"]))
+    unfolded = met.select(*facts.columns, *added, F.explode_outer(holds).alias("_step"))
+    return unfolded.select(*facts.columns, *added, *[F.col("_step")[c].alias(c) for c in values])

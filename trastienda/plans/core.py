@@ -203,10 +203,10 @@ def cost_intervals(cost_history: DataFrame, products: DataFrame) -> DataFrame:
 def with_product(lines: DataFrame, dim_product: DataFrame, cost_history: DataFrame, products: DataFrame) -> DataFrame:
     """Add link provenance, the cost valid on the sale day, and the margin.
 
-    Both joins are on the product number, so large tables are shuffled once for the two.
+    Links and costs meet by product and cell of days first, so the lines are joined once.
     """
     links = dim_product.select("sku_num", "pos_erp_link_source", "handle_link_source")
-    costed = asof(lookup(lines, links, ["sku_num"]), cost_intervals(cost_history, products), "sku_num", "sale_date")
+    costed = asof(lines, cost_intervals(cost_history, products), "sku_num", "sale_date", also=links)
     link = F.when(F.col("channel") == PHYSICAL, F.col("pos_erp_link_source")).otherwise(F.col("handle_link_source"))
     cost = F.col("qty_net") * F.col("unit_cost_mxn")
     return costed.select(
