@@ -1,4 +1,5 @@
 import zlib
+from itertools import combinations
 
 import numpy as np
 import public_tokenizers
@@ -107,3 +108,35 @@ def test_shards_are_even(spark):
     assert len(rows) == 5000
     least = max(-(-sum(r.length for r in rows) // 1024), sum(r.length > 512 for r in rows))
     assert gapless(rows, 1024) <= 1.03 * least
+
+
+@pytest.mark.parametrize(("low", "high", "bins"), [(9, 9, 73), (100, 100, 820), (400, 500, 4096), (90, 110, 810), (250, 350, 2673)])
+def test_a_shard_of_like_pieces(low, high, bins):
+    """Whole shards of equal, short and alike pieces; comparing all bins and pairs of pieces took minutes to hours."""
+    sizes = np.random.default_rng(1).integers(low, high + 1, packing.SHARD_PIECES)
+    where, offset = packing.pack_sizes(sizes)
+    fill = np.bincount(where, weights=sizes)
+    assert fill.max() <= 1024 and (offset + sizes <= 1024).all() and len(fill) <= bins
+    least = packing.Bins(sizes, 1024).least()
+    assert least <= len(fill) <= 1.05 * least
+
+
+def test_the_step_is_the_best_of_all():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        length = 60
+        sizes = rng.integers(1, 20, 9).tolist()
+        bins = start([list(range(3)), list(range(3, 6)), [6, 7, 8]], sizes, length)
+        donor, taker = sorted((0, 1), key=lambda b: bins.fill[b])
+        room, before = length - bins.fill[taker], bins.fill[taker]
+        take = lambda b, n: [sum(sizes[i] for i in x) for x in combinations(bins.items[b], n)]
+        gains = [a - b for n, m in ((1, 0), (2, 0), (1, 1), (2, 1), (1, 2)) for a in take(donor, n) for b in take(taker, m)]
+        best = max((g for g in gains if 0 < g <= room), default=0)
+        assert bins.give(donor, taker) == (best > 0) and bins.fill[taker] - before == best
+        assert all(bins.fill[b] == sum(sizes[i] for i in bins.items[b]) for b in range(3))
+        assert sorted(i for b in bins.items for i in b) == list(range(9))
+
+
+@pytest.mark.parametrize(("sizes", "least"), [([6] * 5, 5), ([4, 4, 4, 4, 4], 3), ([10, 1], 2), ([], 0), ([3] * 7, 3)])
+def test_least_number_of_bins(sizes, least):
+    assert packing.Bins(np.array(sizes, "int64"), 10).least() == least

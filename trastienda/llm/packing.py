@@ -5,8 +5,10 @@ on. Full pieces are sequences by themselves. The others are dealt evenly into sh
 bounded size. In a shard a best-fit pass opens the bins; then the search takes the
 lightest bin and moves documents out of it, or exchanges one for one, two for one or one
 for two with fuller bins. Each step carries tokens from a lighter to a heavier bin, which
-increases the sum of squared fills, until a bin is empty or no step is left. It ends
-early once the number of bins is the least that the tokens need.
+increases the sum of squared fills, until a bin is empty or no step is left. Bins with the
+same room are looked up together by the sizes and sums of two that they hold, as bit sets, so a
+step costs by room and not by pairs of bins or pieces. It ends early once the number of bins is
+the least that any packing needs.
 
 Defined cases: null text is empty text, whose document is the end token alone; repeated rows
 are packed each; an empty table gives an empty result; other columns are ignored.
@@ -18,6 +20,7 @@ import base64
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from heapq import heappop, heappush
 from typing import TYPE_CHECKING
 
 import numpy as np
@@ -117,6 +120,9 @@ class Bins:
 
     def __init__(self, sizes: np.ndarray, length: int) -> None:
         self.sizes, self.length = sizes.tolist(), length
+        self.known: dict[int, tuple[int, int]] = {}
+        self.by_room: dict[int, set[int]] = {}
+        self.unions: dict[int, tuple[int, int]] = {}
         self.items: list[list[int]] = []
         self.fill: list[int] = []
         rooms: list[list[int]] = [[] for _ in range(length + 1)]
@@ -142,53 +148,138 @@ class Bins:
                 rooms[room].append(bin_)
 
     def least(self) -> int:
-        return -(-sum(self.sizes) // self.length)
+        """Bins that any packing needs: by tokens, and since of pieces over a k-th of a bin it holds fewer than k."""
+        ordered = sorted(self.sizes, reverse=True)
+        return max([-(-sum(ordered) // self.length), *(-(-bisect_left(ordered, -(self.length // k), key=lambda x: -x) // (k - 1)) for k in range(2, self.length + 1))])
+
+    def sums(self, bin_: int) -> tuple[int, int]:
+        """Bit sets: the sizes of the bin's pieces, and the sums of two of them."""
+        if bin_ not in self.known:
+            ones = twos = 0
+            for item in self.items[bin_]:
+                twos |= ones << self.sizes[item]
+                ones |= 1 << self.sizes[item]
+            self.known[bin_] = ones, twos
+        return self.known[bin_]
 
     def search(self) -> None:
         """Empty the lightest bins as long as that is possible."""
-        stuck: set[int] = set()
-        used = sum(1 for x in self.items if x)
-        while used > self.least():
-            open_bins = [b for b, fill in enumerate(self.fill) if 0 < fill < self.length]
-            donors = [b for b in open_bins if b not in stuck]
-            if not donors:
-                return
-            donor = min(donors, key=lambda b: (self.fill[b], b))
-            takers = sorted((b for b in open_bins if b != donor and self.fill[b] >= self.fill[donor]), key=lambda b: (self.fill[b], b))
-            while self.items[donor] and any([self.give(donor, taker) for taker in takers if self.items[donor]]):
-                pass
-            if self.items[donor]:
-                stuck.add(donor)
-            else:
+        self.by_room, self.unions = {}, {}
+        for bin_ in range(len(self.items)):
+            self.enter(bin_)
+        waiting = self.open_bins()
+        used, least = sum(1 for x in self.items if x), self.least()
+        while used > least and waiting:
+            fill, donor = heappop(waiting)
+            if fill != self.fill[donor]:
+                if 0 < self.fill[donor] < self.length:
+                    heappush(waiting, (self.fill[donor], donor))
+            elif self.drain(donor):
                 used -= 1
-                stuck.clear()
+                waiting = self.open_bins()
+
+    def open_bins(self) -> list[tuple[int, int]]:
+        return sorted((self.length - room, bin_) for room, members in self.by_room.items() for bin_ in members)
+
+    def enter(self, bin_: int) -> None:
+        """Put an open bin among those with the same room."""
+        if 0 < self.fill[bin_] < self.length:
+            room = self.length - self.fill[bin_]
+            self.by_room.setdefault(room, set()).add(bin_)
+            if room in self.unions:
+                self.unions[room] = tuple(a | b for a, b in zip(self.unions[room], self.sums(bin_), strict=True))
+
+    def leave(self, bin_: int) -> None:
+        room = self.length - self.fill[bin_]
+        members = self.by_room[room]
+        members.discard(bin_)
+        self.unions.pop(room, None)
+        if not members:
+            del self.by_room[room]
+
+    def union(self, room: int) -> tuple[int, int]:
+        """The sums of all bins with that room. What the union can give back, one of its bins can."""
+        if room not in self.unions:
+            ones = twos = 0
+            for bin_ in self.by_room[room]:
+                one, two = self.sums(bin_)
+                ones, twos = ones | one, twos | two
+            self.unions[room] = ones, twos
+        return self.unions[room]
+
+    def drain(self, donor: int) -> bool:
+        """Steps out of the donor, into the bins with most room first, until it is empty or none is left."""
+        self.leave(donor)
+        moved = True
+        while moved and self.items[donor]:
+            moved = False
+            for room in sorted(self.by_room, reverse=True):
+                while self.items[donor] and room in self.by_room and room <= self.length - self.fill[donor]:
+                    own = self.sums(donor)
+                    gain = best_gain(own, self.union(room), room)
+                    if not gain:
+                        break
+                    taker = min(bin_ for bin_ in self.by_room[room] if carries(own, self.sums(bin_), gain))
+                    self.leave(taker)
+                    self.give(donor, taker)
+                    self.enter(taker)
+                    moved = True
+        self.enter(donor)
+        return not self.items[donor]
 
     def give(self, donor: int, taker: int) -> bool:
         """The step between two bins that carries the most tokens to the fuller one."""
         room = self.length - self.fill[taker]
         if not room or self.fill[taker] < self.fill[donor]:
             return False
-        own, other, size = self.items[donor], self.items[taker], self.sizes
-        best: tuple[int, tuple, tuple] = (0, (), ())
-        outs = [(a,) for a in own] + [(a, b) for i, a in enumerate(own) for b in own[i + 1 :]]
-        backs = [(), *((b,) for b in other), *((a, b) for i, a in enumerate(other) for b in other[i + 1 :])]
-        for out in outs:
-            going = sum(size[x] for x in out)
-            for back in backs:
-                if len(out) == 2 and len(back) == 2:
-                    continue
-                gain = going - sum(size[x] for x in back)
-                if best[0] < gain <= room:
-                    best = (gain, out, back)
-        gain, out, back = best
+        own, other = self.sums(donor), self.sums(taker)
+        gain = best_gain(own, other, room)
         if not gain:
             return False
-        self.items[donor] = [x for x in own if x not in out] + list(back)
-        self.items[taker] = [x for x in other if x not in back] + list(out)
+        one_back, two_back = (own[0] >> gain) & (1 | other[0] | other[1]), (own[1] >> gain) & (1 | other[0])
+        going = lowest(one_back or two_back) + gain
+        out = self.of_sum(donor, going, own[0] if one_back else 0)
+        back = self.of_sum(taker, going - gain, other[0])
+        self.items[donor] = [x for x in self.items[donor] if x not in out] + back
+        self.items[taker] = [x for x in self.items[taker] if x not in back] + out
         self.fill[donor] -= gain
         self.fill[taker] += gain
+        self.known.pop(donor, None)
+        self.known.pop(taker, None)
         return True
 
+    def of_sum(self, bin_: int, total: int, ones: int) -> list[int]:
+        """No piece, one or two of a bin that have this sum; one if its size is among `ones`."""
+        if not total:
+            return []
+        seen: dict[int, int] = {}
+        for item in self.items[bin_]:
+            size = self.sizes[item]
+            if ones >> total & 1:
+                if size == total:
+                    return [item]
+            elif total - size in seen:
+                return [seen[total - size], item]
+            seen[size] = item
+        raise AssertionError("no such pieces")
+
+
+def lowest(bits: int) -> int:
+    return (bits & -bits).bit_length() - 1
+
+
+def carries(out: tuple[int, int], back: tuple[int, int], gain: int) -> bool:
+    """Can one piece go for none, one or two, or two for none or one, with this gain?"""
+    return bool((out[0] >> gain) & (1 | back[0] | back[1]) or (out[1] >> gain) & (1 | back[0]))
+
+
+def best_gain(out: tuple[int, int], back: tuple[int, int], room: int) -> int:
+    """The largest gain that fits the room; 0 if no step has one."""
+    for gain in range(min(room, max(out).bit_length() - 1), 0, -1):
+        if carries(out, back, gain):
+            return gain
+    return 0
+
 
 def pack_sizes(sizes: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
     """For each size its bin and its offset there."""
