@@ -87,3 +87,38 @@ def test_changed_payloads_are_noticed(spark, pages, tmp_path):
     (tmp_path / "w" / path).write_bytes(warc.record(1, "u", b"other", 5, "0" * 40, None))
     with pytest.raises(Exception, match="differs from its digest"):
         warc.read(spark, folder, manifest).collect()
+
+
+def long_url(n):
+    rng = random.Random(2)
+    return "http://k/" + "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(n))
+
+
+@pytest.mark.parametrize("split", [20_000, 1 << 20])
+def test_headers_of_any_length(spark, tmp_path, split):
+    """A header of more than a mebibyte is read on while it may still be one."""
+    rows = [(1, "http://a/", "x" * 50), (2, long_url(130_000), "y" * 2000), (3, "http://b/", "z" * 50)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    folder = str(tmp_path / "w")
+    manifest = warc.write(pages, folder)
+    read = warc.read(spark, folder, manifest, split)
+    assert found(read) == expected(rows) and warc.incomplete(read, manifest).count() == 0
+    assert max(len(r.target) for r in read.collect()) > 1 << 20
+
+
+def test_what_can_not_become_a_header_is_left_early():
+    assert warc.may_be_header(b"WARC/1.1\r\nA: b\r\nC") and warc.may_be_header(b"WA")
+    assert not warc.may_be_header(b"WARC/1.1\r\nno field\r\nA") and not warc.may_be_header(b"WARC/1.1\r\nA: b\r\n\r\n")
+
+
+def test_a_lost_record_is_told(spark, pages, tmp_path, monkeypatch):
+    folder = str(tmp_path / "w")
+    manifest = warc.write(pages.coalesce(1), folder)
+    rows = warc.read(spark, folder, manifest)
+    lost = warc.incomplete(rows.where("page_id <> 7 OR page_id IS NULL"), manifest).collect()
+    assert [(r.records, r.found) for r in lost] == [(len(PAGES), len(PAGES) - 1)]
+    assert [r.found for r in warc.incomplete(rows.limit(0), manifest).collect()] == [0]
+    written = warc.write
+    monkeypatch.setattr(warc, "write", lambda *a: written(*a).withColumn("records", warc.F.col("records") + 1))
+    with pytest.raises(ValueError, match="yields"):
+        warc.round_trip(spark, pages)

@@ -106,7 +106,7 @@ class Range:
     """Bytes of an archive from a position on, read as they are needed."""
 
     def __init__(self, file: pa.NativeFile, begin: int, size: int) -> None:
-        self.file, self.base, self.size, self.bytes = file, begin, size, b""
+        self.file, self.base, self.size, self.bytes = file, begin, size, bytearray()
         file.seek(begin)
 
     def more(self) -> bool:
@@ -128,25 +128,34 @@ class Range:
         """The record that starts here and the position after it; None if no record does."""
         self.bytes, self.base = self.bytes[position - self.base :], position
         unpacker, at, parts, known = zlib.decompressobj(31), 0, [], False
+        grown = looked = 0
         try:
             while not unpacker.eof:
                 if at >= len(self.bytes) and not self.more():
                     return None
-                piece = self.bytes[at : at + 8192]
+                piece = bytes(self.bytes[at : at + 8192])
                 parts.append(unpacker.decompress(piece))
                 at += len(piece)
-                if not known:
-                    begin = b"".join(parts)
+                grown += len(parts[-1])
+                # looked at whenever it has doubled, so a header of any length costs in proportion
+                if not known and (grown >= 2 * looked or unpacker.eof):
+                    looked, begin = grown, b"".join(parts)
                     if not begin.startswith(b"WARC/1."[: len(begin)]):
                         return None
                     known = header(begin) is not None
-                    if not known and (b"\r\n\r\n" in begin or len(begin) > READ):
+                    if not known and not may_be_header(begin):
                         return None
         except zlib.error:
             return None
         return (b"".join(parts), position + at - len(unpacker.unused_data)) if known else None
 
 
+def may_be_header(begin: bytes) -> bool:
+    """Could more bytes make this a WARC header? Its full lines are fields, and no empty line has come."""
+    lines = begin.split(b"\r\n")
+    return b"\r\n\r\n" not in begin and all(b":" in line for line in lines[1:-1])
+
+
 def header(begin: bytes) -> tuple[dict[str, str], int] | None:
     """The fields of a WARC header and its length; None if this isn't one."""
     end = begin.find(b"\r\n\r\n")
@@ -215,7 +224,21 @@ def read(spark: SparkSession, folder: str, manifest: DataFrame, split_bytes: int
     return dealt.mapInArrow(scan, schema)
 
 
+def incomplete(rows: DataFrame, manifest: DataFrame) -> DataFrame:
+    """(path, records, found) of archives that yield another number of records than the manifest says."""
+    found = rows.groupBy("path").agg(F.count("*").alias("found"))
+    counts = manifest.join(found, "path", "full").select("path", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("records", "found")])
+    return counts.where("records <> found")
+
+
 def round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """The pages written to archives in the shared folder, and what the reader finds there."""
+    """The pages written to archives in the shared folder, and what the reader finds there.
+
+    Raises if an archive doesn't yield the records that its manifest counts.
+    """
     folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
-    return read(spark, folder, write(pages, folder))
+    manifest = write(pages, folder)
+    rows = settle(read(spark, folder, manifest))
+    if wrong := incomplete(rows, manifest).first():
+        raise ValueError(f"{wrong['path']} yields {wrong['found']} of {wrong['records']} records")
+    return rows
