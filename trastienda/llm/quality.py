@@ -1,14 +1,16 @@
 """Quality rules whose cutoffs control the risk of rejecting good documents.
 
 Every rule is a number of a document that is larger the worse the document is, and a cutoff.
-On labelled holdouts each cutoff of a fixed grid is tested in each stratum (language): is the
-part of good documents beyond it at most `risk`? The test is the exact binomial one, which is
-the same as asking whether the Clopper-Pearson bound is at most `risk`. In a stratum a rule's
-cutoffs are tested from the loosest to the strictest until one fails, which needs no correction
-within the sequence; the level is shared out over all rules and strata (Bonferroni). So with
-probability 1 - `level` no rule in any stratum rejects more good documents than promised. Of the
-cutoffs that passed, the one that is worth most is used: bad documents that it rejects, less a
-price for each good one. Where none is worth anything, the rule doesn't apply.
+The labelled rows are split in two. On the tuning rows each rule of each stratum (language) gets
+the cutoff of a fixed grid that is worth most: bad documents that it rejects, less a price for
+each good one; where none is worth anything, the rule doesn't apply. A stratum's rules are ordered by worth.
+The other rows, which took no part in that, are the holdouts. There the verdict is tested, first with
+the best rule alone, then with the next one added, until a test fails: is the part of good
+documents that any of these rules rejects at most `risk`? The test is the exact binomial one,
+which is the same as asking whether the Clopper-Pearson bound is at most `risk`. A fixed sequence needs
+no correction within a stratum; the level is shared out over the strata (Bonferroni). So with
+probability 1 - `level` the verdict rejects in no stratum more good documents than promised,
+among those that pass the base rules.
 
 Defined cases: null text has no words and fails the base rules; documents of a stratum without
 enough labels are only held to the base rules; null strata are a stratum of their own;
@@ -95,35 +97,59 @@ def binomial_below(k: int, n: int, p: float) -> float:
     return min(1.0, math.exp(top) * math.fsum(math.exp(x - top) for x in logs))
 
 
-def choose(good: list[int], bad: list[int], n: int, risk: float, level: float) -> int | None:
-    """The most useful cutoff (position in the grid) before the first that fails; good[i] of n good documents and bad[i] bad ones are beyond it."""
-    best, worth = None, 0
-    for position, (k, gain) in enumerate(zip(good, bad, strict=True)):
-        if k > risk * n or binomial_below(k, n, risk) > level:
-            break
-        if gain - PRICE * k > worth:
-            best, worth = position, gain - PRICE * k
-    return best
+def most_useful(good: list[int], bad: list[int]) -> tuple[int, int] | None:
+    """(worth, position in the grid) of the best cutoff; good[i] good documents and bad[i] bad ones are beyond it."""
+    worth, position = max(((gain - PRICE * k, -position) for position, (k, gain) in enumerate(zip(good, bad, strict=True))), default=(0, 0))
+    return (worth, -position) if worth > 0 else None
 
 
-def learn(labelled: DataFrame, risk: float = RISK, level: float = LEVEL) -> dict[tuple[str | None, str], float]:
-    """Cutoffs by (stratum, rule), from rows with the base counts, `stratum` and `good`.
+def certified(lost: list[int], n: int, risk: float, level: float) -> int:
+    """How many rules of a sequence hold the risk together; lost[i] of n good holdouts are rejected by the first i + 1."""
+    for position, k in enumerate(lost):
+        if k > risk * n or binomial_below(k, n, risk) > level:
+            return position
+    return len(lost)
 
-    What reaches the driver is a count for each stratum, rule and cutoff of the grid.
-    """
+
+def tuned(rows: DataFrame) -> dict[str | None, list[tuple[str, float]]]:
+    """For each stratum its rules with the most useful cutoffs, the best first."""
     rules = F.explode(F.array(*[F.struct(F.lit(name).alias("rule"), value.alias("value")) for name, value in rule_values().items()])).alias("r")
     # the number of cutoffs that the value is beyond, the strictest first
     step = F.least(F.greatest((F.ceil(F.col("r.value") * 200) - 1).cast("int"), F.lit(0)), F.lit(len(GRID)))
-    counts = labelled.where(~base_failed()).select("stratum", "good", rules).groupBy("stratum", "r.rule", "good", step.alias("step")).agg(F.count("*").alias("n")).collect()
-    strata: dict[tuple[str | None, str], dict[bool, Counter]] = {}
+    counts = rows.select("stratum", "good", rules).groupBy("stratum", "r.rule", "good", step.alias("step")).agg(F.count("*").alias("n")).collect()
+    tables: dict[tuple[str | None, str], dict[bool, Counter]] = {}
     for row in counts:
-        strata.setdefault((row["stratum"], row["rule"]), {True: Counter(), False: Counter()})[row["good"]][row["step"]] += row["n"]
-    cutoffs = {}
-    for key, sides in strata.items():
+        tables.setdefault((row["stratum"], row["rule"]), {True: Counter(), False: Counter()})[row["good"]][row["step"]] += row["n"]
+    found: dict[str | None, list[tuple[int, str, float]]] = {}
+    for (stratum, rule), sides in tables.items():
         good, bad = ([sum(c for step, c in sides[side].items() if step >= len(GRID) - position) for position in range(len(GRID))] for side in (True, False))
-        position = choose(good, bad, sum(sides[True].values()), risk, level / len(strata))
-        if position is not None:
-            cutoffs[key] = GRID[position]
+        if best := most_useful(good, bad):
+            found.setdefault(stratum, []).append((-best[0], rule, GRID[best[1]]))
+    return {stratum: [(rule, cutoff) for _, rule, cutoff in sorted(rules)] for stratum, rules in found.items()}
+
+
+def learn(labelled: DataFrame, tuning: Column, risk: float = RISK, level: float = LEVEL) -> dict[tuple[str | None, str], float]:
+    """Cutoffs by (stratum, rule), from rows with the base counts, `stratum` and `good`.
+
+    Rows where `tuning` holds choose the cutoffs, the others test them. What reaches the driver is
+    a count for each stratum, rule and cutoff of the grid.
+    """
+    rows = labelled.withColumn("_tuning", tuning).where(~base_failed() & F.col("good").isNotNull())
+    chosen = tuned(rows.where("_tuning"))
+    if not chosen:
+        return {}
+    values = rule_values()
+    first = [
+        F.when(F.col("stratum").eqNullSafe(F.lit(stratum)) & (values[rule] > F.lit(cutoff)), F.lit(position))
+        for stratum, rules in chosen.items()
+        for position, (rule, cutoff) in enumerate(rules)
+    ]
+    tested = rows.where("good AND NOT _tuning").groupBy("stratum", F.array_min(F.array_compact(F.array(*first))).alias("first")).agg(F.count("*").alias("n")).collect()
+    cutoffs = {}
+    for stratum, rules in chosen.items():
+        counts = Counter({row["first"]: row["n"] for row in tested if row["stratum"] == stratum})
+        lost = [sum(counts[k] for k in range(position + 1)) for position in range(len(rules))]
+        cutoffs.update({(stratum, rule): cutoff for rule, cutoff in rules[: certified(lost, counts.total(), risk, level / len(chosen))]})
     return cutoffs
 
 
