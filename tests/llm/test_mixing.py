@@ -102,3 +102,12 @@ def test_odd_rows(odd, nothing, odd_rows):
 def test_reruns_agree(spark, sf):
     first, second = (sorted(map(str, QUERIES["op4_curriculum_mix"](spark, sf).collect())) for _ in range(2))
     assert first == second
+
+
+def test_query_is_range_sorted_and_has_all_times(spark, sf):
+    result = QUERIES["op4_curriculum_mix"](spark, sf)
+    parts = [[r.first_time for r in rows] for rows in result.rdd.glom().collect() if rows]
+    times = [t for part in parts for t in part]
+    taken = [t for t in times if t is not None]
+    assert taken == sorted(taken) and times[: len(taken)] == taken
+    assert all((r.first_time, r.second_time, r.third_time).count(None) == 3 - r.taken // r.size for r in result.where("size > 0").collect())

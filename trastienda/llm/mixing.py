@@ -128,6 +128,12 @@ def mix(docs: DataFrame, carry: Sequence[str] | None = None, schedules: Sequence
     return placed.select("row", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"), times.alias("times"))
 
 
+def by_time(mixed: DataFrame) -> DataFrame:
+    """The documents of a mix range-sorted by the time of their first copy; those that aren't taken come last."""
+    first = F.get("times", F.lit(0)).asc_nulls_last()
+    return settle(mixed).repartitionByRange(first).sortWithinPartitions(first)
+
+
 def training_order(docs: DataFrame, schedules: Sequence[Knots] = SCHEDULES, most: int = MOST) -> DataFrame:
     """The mix itself: the documents' columns, a row for each copy, range-sorted by training time."""
     copies = mix(docs, schedules=schedules, most=most).select("row", F.explode("times").alias("time"))

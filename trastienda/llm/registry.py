@@ -30,8 +30,9 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents"), carry=["doc_id"])
-    return mixed.select("row.doc_id", "size", "source_size", "target", "taken", F.get("times", F.lit(0)).alias("first_time"))
+    mixed = mixing.by_time(mixing.mix(table(spark, sf_dir, "documents"), carry=["doc_id"]))
+    times = [F.get("times", F.lit(k)).alias(name) for k, name in enumerate(("first_time", "second_time", "third_time"))]
+    return mixed.select("row.doc_id", "size", "source_size", "target", "taken", *times)
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,14 +135,25 @@ ORACLES: dict[str, str] = {
                    sum(size) OVER (PARTITION BY sized.source ORDER BY deal, doc_id, size ROWS UNBOUNDED PRECEDING) - size + size / 2 AS middle
             FROM sized JOIN goals ON sized.source IS NOT DISTINCT FROM goals.source
         ), copied AS (
-            SELECT *, passes + CASE WHEN middle < target - passes * s THEN 1 ELSE 0 END AS copies, least(middle / target, 1.0) AS part FROM placed
+            SELECT *, passes + CASE WHEN middle < target - passes * s THEN 1 ELSE 0 END AS copies, least(middle / target, 1.0) AS part_0,
+                   least((s + middle) / target, 1.0) AS part_1, least((2 * s + middle) / target, 1.0) AS part_2 FROM placed
         )
         SELECT doc_id, size, s::BIGINT AS source_size, target, (size * copies)::BIGINT AS taken,
                CASE WHEN copies > 0 THEN CASE k % 3
-                    WHEN 0 THEN 0.0 + (sqrt(49.0 + -8.0 * ((part - 0.0) * 5.0)) - 7.0) / -4.0
-                    WHEN 1 THEN 0.0 + (part - 0.0) * 2.0 / 2.0
-                    ELSE CASE WHEN part < 0.25 THEN 0.0 + (part - 0.0) * 1.0 / 0.5
-                         ELSE 0.5 + (sqrt(0.25 + 8.0 * ((part - 0.25) * 1.0)) - 0.5) / 4.0 END END END AS first_time
+                    WHEN 0 THEN 0.0 + (sqrt(49.0 + -8.0 * ((part_0 - 0.0) * 5.0)) - 7.0) / -4.0
+                    WHEN 1 THEN 0.0 + (part_0 - 0.0) * 2.0 / 2.0
+                    ELSE CASE WHEN part_0 < 0.25 THEN 0.0 + (part_0 - 0.0) * 1.0 / 0.5
+                         ELSE 0.5 + (sqrt(0.25 + 8.0 * ((part_0 - 0.25) * 1.0)) - 0.5) / 4.0 END END END AS first_time,
+               CASE WHEN copies > 1 THEN CASE k % 3
+                    WHEN 0 THEN 0.0 + (sqrt(49.0 + -8.0 * ((part_1 - 0.0) * 5.0)) - 7.0) / -4.0
+                    WHEN 1 THEN 0.0 + (part_1 - 0.0) * 2.0 / 2.0
+                    ELSE CASE WHEN part_1 < 0.25 THEN 0.0 + (part_1 - 0.0) * 1.0 / 0.5
+                         ELSE 0.5 + (sqrt(0.25 + 8.0 * ((part_1 - 0.25) * 1.0)) - 0.5) / 4.0 END END END AS second_time,
+               CASE WHEN copies > 2 THEN CASE k % 3
+                    WHEN 0 THEN 0.0 + (sqrt(49.0 + -8.0 * ((part_2 - 0.0) * 5.0)) - 7.0) / -4.0
+                    WHEN 1 THEN 0.0 + (part_2 - 0.0) * 2.0 / 2.0
+                    ELSE CASE WHEN part_2 < 0.25 THEN 0.0 + (part_2 - 0.0) * 1.0 / 0.5
+                         ELSE 0.5 + (sqrt(0.25 + 8.0 * ((part_2 - 0.25) * 1.0)) - 0.5) / 4.0 END END END AS third_time
         FROM copied
     """,
 }
