@@ -13,7 +13,7 @@ from trastienda.functions.stats import exact_median
 from trastienda.functions import stats
 from trastienda.operators.lookup import lookup
 from trastienda.operators.ranking import top_per_group
-from trastienda.operators.runs import zero_runs
+from trastienda.operators.runs import empty_days, merged, runs_of_months, zero_runs
 from trastienda.operators.validity import asof, validity_intervals
 from trastienda.plans import core, evidence, staging
 from trastienda.sources import erp, files, totals
@@ -63,12 +63,44 @@ def test_zero_runs_equal_a_walk_over_the_days(spark, seed):
     assert as_rows(runs, "variant", "store", "run_start", "run_end", "run_days", "na_days") == brute_runs(cells)
 
 
-def test_zero_runs_need_one_shuffle(spark):
+def test_zero_runs_across_months_and_years(spark):
+    """Runs that cover whole months, meet at month ends, or are bridged over a month of unknown days."""
+    start = date(2023, 11, 1)
+    stock = {}
+    for d in range(500):
+        day = start + timedelta(d)
+        stock[day] = None if day.month == 2 else 4 if day in (date(2023, 12, 31), date(2024, 7, 1)) else 0
+    cells = [("S", day, q) for day, q in stock.items()]
+    cells += [("T", day, None) for day in stock] + [("U", date(2024, 1, 31), 0), ("U", date(2024, 3, 1), 0), ("V", date(2024, 2, 29), 0), ("V", date(2024, 3, 1), 0)]
+    runs = zero_runs(spark.createDataFrame(cells, "store STRING, day DATE, stock INT"), ["store"], "day", "stock")
+    assert as_rows(runs, "variant", "store", "run_start", "run_end", "run_days", "na_days") == brute_runs(cells)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_summaries_of_parts_merge_in_any_order(spark, seed):
+    pick = random.Random(seed)
+    cells = [(f"S{s}", date(2024, 1, 20) + timedelta(d), pick.choice([0, 0, None, 3])) for s in range(3) for d in range(70)]
+    pick.shuffle(cells)
+    months = [empty_days(spark.createDataFrame(cells[k::3], "store STRING, day DATE, stock INT"), ["store"], "day", "stock") for k in range(3)]
+    whole = merged(merged(months[2].unionByName(months[0]), ["store"]).unionByName(months[1]), ["store"])
+    assert as_rows(runs_of_months(whole, ["store"]), "variant", "store", "run_start", "run_end", "run_days", "na_days") == brute_runs(cells)
+
+
+def test_days_are_shuffled_as_months(spark):
+    """Days are summed up before the first exchange; the second one moves stretches of months."""
     frame = spark.range(10).select(
         (F.col("id") % 3).alias("store"), F.date_add(F.lit("2024-01-01"), F.col("id").cast("int")).alias("day"), (F.col("id") % 2).alias("stock")
     )
     plan = zero_runs(frame, ["store"], "day", "stock")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("partial_bit_or") > 0
+
+
+def test_event_months_are_the_empty_days_of_the_grid(spark):
+    star = Star(spark, SF)
+    keys = ["store_id", "sku_num"]
+    days = empty_days(star.event_grid, keys, "snapshot_date", "stock_qty")
+    told = star.event_months.where("zero + unknown > 0")
+    assert as_rows(days.select(*told.columns)) == as_rows(told)
 
 
 def skewed_facts(spark):

@@ -10,6 +10,7 @@ from trastienda.functions.text import distinct_list_of
 from trastienda.operators.lookup import lookup
 from trastienda.operators.runs import UNKNOWN_BREAKS, UNKNOWN_BRIDGES, zero_runs
 
+PAIR = ["store_id", "sku_num"]
 MORE_THAN_DAYS = 3
 # Store states.
 CONFIRMED, POSSIBLE, OUTSIDE = "confirmado", "posible_si_na_es_cero", "solo_contando_dias_fuera_del_trimestre"
@@ -23,11 +24,24 @@ def stockout_runs(
     data_end: Column,
     more_than_days: int = MORE_THAN_DAYS,
 ) -> DataFrame:
-    """Runs longer than `more_than_days` that touch the quarter.
+    """Runs longer than `more_than_days` that touch the quarter, from daily stock."""
+    runs = zero_runs(inventory, PAIR, "snapshot_date", "stock_qty")
+    return long_runs(runs, dim_product, quarter_start, quarter_end, data_end, more_than_days)
+
+
+def long_runs(
+    runs: DataFrame,
+    dim_product: DataFrame,
+    quarter_start: Column,
+    quarter_end: Column,
+    data_end: Column,
+    more_than_days: int = MORE_THAN_DAYS,
+) -> DataFrame:
+    """Of all runs those longer than `more_than_days` that touch the quarter.
 
     The length test uses the whole run; `days_in_quarter` is the part inside.
     """
-    runs = zero_runs(inventory, ["store_id", "sku_num"], "snapshot_date", "stock_qty").where(
+    runs = runs.where(
         (F.col("run_days") > more_than_days)
         & (F.col("run_end") >= quarter_start)
         & (F.col("run_start") <= quarter_end)

@@ -211,6 +211,19 @@ def stockout_stores(star: Star) -> DataFrame:
     return star.stockout_stores
 
 
+@query
+def empty_stock_months(star: Star) -> DataFrame:
+    """Days without and with unknown stock per pair and month, from the summaries that runs are read off."""
+    return star.event_months.where("zero <> 0 OR unknown <> 0").select(
+        "store_id",
+        "sku_num",
+        "month",
+        F.bit_count("zero").cast("bigint").alias("zero_days"),
+        F.bit_count("unknown").cast("bigint").alias("unknown_days"),
+        F.col("zero").alias("zero_bits"),
+    )
+
+
 # --- margin ----------------------------------------------------------------------------------
 
 

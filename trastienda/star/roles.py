@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from trastienda.functions.amounts import COST, MONEY, RATE
 from trastienda.functions.keys import KeyFormats, slug
 from trastienda.functions.literals import known_values
+from trastienda.operators.runs import day_bit, runs_of_months
 from trastienda.operators.validity import validity_intervals
 from trastienda.plans import core, growth, margin, rotation, staging, stockouts
 from trastienda.sources import erp, json_split, totals
@@ -231,6 +232,32 @@ class Star:
             )
         )
 
+    @cached_property
+    def event_months(self) -> DataFrame:
+        """The empty days of `event_grid` as bits of months, told from the days with events: no row per day.
+
+        A user's unknown day is the same in every month, so a month's empty days are its days less that one
+        and the days with events.
+        """
+        events = self.table("events")
+        day = F.col("ts").cast("date")
+        bounds = events.agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
+        lo, hi = bounds.select("lo").scalar(), bounds.select("hi").scalar()
+        busy = events.groupBy("user_id", "event_type", F.trunc(day, "MM").alias("month")).agg(F.bit_or(day_bit(day)).alias("bits"))
+        pairs = busy.groupBy("user_id", "event_type").agg(F.map_from_entries(F.collect_list(F.struct("month", "bits"))).alias("seen"))
+        months = pairs.select("*", F.explode(F.sequence(F.trunc(lo, "MM"), F.trunc(hi, "MM"), F.make_ym_interval(months=F.lit(1)))).alias("month"))
+        none, silent = F.lit(0).cast("long"), 53 - F.col("user_id") * 7 % 53
+        unknown = F.when(silent <= 31, F.call_function("shiftleft", F.lit(1).cast("long"), (silent - 1).cast("int"))).otherwise(none)
+        first, last = day_bit(F.greatest("month", lo)), day_bit(F.least(F.last_day("month"), hi))
+        inside = last * 2 - first
+        return months.select(
+            F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("store_id"),
+            F.col("event_type").alias("sku_num"),
+            "month",
+            inside.bitwiseAND(F.bitwise_not(F.coalesce(F.try_element_at("seen", F.col("month")), none).bitwiseOR(unknown))).alias("zero"),
+            inside.bitwiseAND(unknown).alias("unknown"),
+        )
+
     @cached_property
     def event_products(self) -> DataFrame:
         return self.table("events").select("event_type").distinct().select(
@@ -573,8 +600,9 @@ class Star:
     @cached_property
     def stockout_runs(self) -> DataFrame:
         w = self.event_window
-        return stockouts.stockout_runs(
-            self.event_grid, self.event_products, w["quarter_start"], w["quarter_end"], w["data_end"], EVENT_RUN_DAYS
+        runs = runs_of_months(self.event_months, stockouts.PAIR)
+        return stockouts.long_runs(
+            runs, self.event_products, w["quarter_start"], w["quarter_end"], w["data_end"], EVENT_RUN_DAYS
         )
 
     @cached_property
