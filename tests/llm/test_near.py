@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from trastienda.llm import simhash
+from trastienda.llm import rarejoin, setjoin, simhash
 from trastienda.llm.components import components
 
 
@@ -99,14 +99,68 @@ def test_near_copies_of_the_stage(spark, monkeypatch):
         return " ".join("edit" + str(k) if k in at else w for k, w in enumerate(words))
 
     texts = [edited(), edited(*range(20, 300, 60)), edited(*range(10, 300, 20)), edited(40, 140, 240), " ".join(reversed(words))]
-    assert [simhash.similar(simhash.shingles(texts[0]), simhash.shingles(t)) for t in texts] == [True, True, False, True, False]
+    assert brute.near_components(texts) == [0, 0, 2, 0, 4]
     assert all((simhash.fingerprint(texts[0]) ^ simhash.fingerprint(texts[k])).bit_count() > 2 for k in (1, 3))
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     for block in (256, 1):
-        monkeypatch.setattr(simhash, "NEAR_BLOCK", block)
+        monkeypatch.setattr(setjoin, "BLOCK", block)
         assert sorted(r.doc_id for r in simhash.drop_near_copies(docs).collect()) == [0, 2, 4]
 
 
+@pytest.mark.parametrize("block", [1024, 5])
+def test_groups_of_every_similarity(spark, monkeypatch, block):
+    """Families around a similarity of 0.8, short texts, and a passage that all texts share, against all pairs."""
+    rng = random.Random(block)
+    passage = [f"p{k}" for k in range(30)]
+    texts = ["", " ", "one two", "one two", "One Two"]
+    for family in range(12):
+        words = [f"w{rng.randrange(400)}" for _ in range(rng.randrange(5, 150))]
+        for _ in range(rng.randrange(1, 12)):
+            now = [f"x{rng.randrange(9)}" if rng.random() < rng.choice([0, 0.01, 0.03, 0.06]) else w for w in words]
+            texts.append(" ".join(now + passage * (family % 2)))
+    rng.shuffle(texts)
+    monkeypatch.setattr(setjoin, "BLOCK", block)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    label = brute.near_components(texts)
+    assert sorted(r.doc_id for r in simhash.drop_near_copies(docs).collect()) == [k for k in range(len(texts)) if label[k] == k]
+
+
+@pytest.mark.parametrize("counts", [np.zeros(1 << rarejoin.SLOT_BITS, "i8"), np.arange(1 << rarejoin.SLOT_BITS) % 7])
+def test_similar_sets_are_posted_together(counts):
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        left = np.unique(rng.integers(0, 1 << 63, rng.integers(1, 60)).astype("u8"))
+        right = np.unique(np.concatenate([rng.permutation(left)[: rng.integers(0, len(left) + 1)], rng.integers(0, 1 << 63, rng.integers(0, 12)).astype("u8")]))
+        if len(right) and 100 * len(np.intersect1d(left, right)) >= 80 * len(np.union1d(left, right)):
+            assert len(np.intersect1d(rarejoin.rarest(left, counts), rarejoin.rarest(right, counts)))
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_meetings_keep_all_that_share_a_shingle(spark, parts):
+    rng = random.Random(parts)
+    rows = [(g, rng.randrange(1, 9), rng.sample(range(60), 3) + [1000 + g]) for g in range(80)] + [(80 + k, 1, [999]) for k in range(50)]
+    nodes = spark.createDataFrame(rows, "g long, n long, rare array<long>")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.execution.arrow.maxRecordsPerBatch")}
+    for k, v in zip(before, (str(parts), "false", "4"), strict=True):
+        spark.conf.set(k, v)
+    try:
+        found = rarejoin.meetings(nodes).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    under = {}
+    for g, _, rare in rows:
+        for s in rare:
+            under.setdefault(s, set()).add(g)
+    got = {}
+    for r in found:
+        got.setdefault(r.shingle, []).append(r.g)
+        assert r.before < 0 or r.before in under[r.shingle] and r.before != r.g
+    assert all(sorted(got[s]) == sorted(gs) for s, gs in under.items() if len(gs) > 1)
+    assert sum(len(gs) == 1 for s, gs in under.items() if s in got) <= 2 * parts
+    assert sum(r.before >= 0 for r in found) >= sum(len(gs) - 1 for gs in under.values()) - 2 * parts
+
+
 def test_stage_against_brute_force(spark, sf, documents):
     """All pairs of documents, by their sets of five-word shingles."""
     label = brute.near_components([t for _, t, _, _ in documents])

@@ -12,8 +12,8 @@ traversed to the end in the task. A task gives a spanning forest of its links, n
 all pairs of a group. Components come from repeated rounds of smallest neighbours.
 
 `drop_near_copies` has a contract of its own: word shingles of five, similarity of at least
-0.8. The tries, with a larger budget, propose groups; a link is made only where two documents of
-a group are within that budget and their sets of shingles are that similar.
+0.8. Such sets are some ten bits apart, where a trie drops hardly anything early and random fingerprints meet as well. So
+documents meet under rare shingles first (see `rarejoin`), and the budget prunes pairs there.
 
 Defined cases: null text and text without words have fingerprint zero and are linked like
 any other; repeated rows are in one component; a null doc_id is no component's smallest unless
@@ -32,6 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trastienda.llm import forest, rarejoin
 from trastienda.llm.common import WORD, located, text_of
 from trastienda.llm.components import components
 from trastienda.sources.settle import settle
@@ -40,12 +41,8 @@ SHINGLE = 3
 SEED = 42
 BITS = 64
 BUDGET = 2
-#: Near copies: the words of a shingle, the similarity of two sets of them, the bits within which pairs are proposed.
-NEAR_SHINGLE, NEAR_SIMILAR, NEAR_BUDGET = 5, 0.8, 11
-#: With so many bits hardly a node pair is dropped early, so splitting pays later and leaves are larger.
-NEAR_NODE_ROWS, NEAR_LEAF = 50_000, 1 << 18
-#: Documents of a proposed group that a task compares with as many others.
-NEAR_BLOCK = 256
+#: Words of a near copy's shingles.
+NEAR_SHINGLE = 5
 #: A node pair with more fingerprints is split into the pairs of its children.
 NODE_ROWS = 2000
 #: Rows of small node pairs that a task takes at once, about.
@@ -214,71 +211,65 @@ def near_duplicates(docs: DataFrame, carry: Column | None = None, size: int = SH
     return prints.join(member, "fp").select("key", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component")
 
 
-def shingles(text: str, size: int = NEAR_SHINGLE, seed: int = SEED) -> np.ndarray:
-    """The sorted hashes of a text's distinct shingles; fewer words are one shingle."""
-    words = re.findall(WORD, text.translate(_LOWER))
-    parts = [" ".join(words)] if len(words) < size else map(" ".join, zip(*(words[k:] for k in range(size)), strict=False))
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(x, seed) for x in parts), "<u8"))
+def shingles(text: str, size: int = NEAR_SHINGLE) -> np.ndarray:
+    """The sorted hashes of a text's distinct shingles; fewer words, or none, are one shingle."""
+    found = forest.shingles(text, size)
+    return found if len(found) else np.zeros(1, "u8")
 
 
-def similar(left: np.ndarray, right: np.ndarray, least: float = NEAR_SIMILAR) -> bool:
-    """Whether the Jaccard similarity of two sets of shingles is `least` or more."""
-    few, many = sorted((len(left), len(right)))
-    if few < least * many:
-        return False
-    both = len(np.intersect1d(left, right, assume_unique=True))
-    return both >= least * (few + many - both)
+def majority(hashes: np.ndarray) -> int:
+    """The fingerprint of a set of hashes."""
+    ones = np.zeros(BITS, "int64")
+    for begin in range(0, len(hashes), BLOCK):
+        part = hashes[begin : begin + BLOCK].astype("<u8")
+        ones += np.unpackbits(part.view("u1").reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype="int64")
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def _verified(near: DataFrame) -> DataFrame:
-    """(a, b): links between similar documents of a group, from (n, fp, root, members, text).
+def near_prints(rows: DataFrame, carry: Column) -> DataFrame:
+    """(key, n, high, low, fp, rare): of each text's set its size, digest, fingerprint and the shingles it is posted under."""
+    counts = rows.sparkSession.sparkContext.broadcast(rarejoin.slot_counts(rows, shingles))
 
-    A group is dealt into blocks, and each pair of blocks is compared in a task of its own, so
-    that a large group doesn't lie in one task.
-    """
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingles(text.as_py()) for text in batch.column(1)]
+            digest = np.array([divmod(xxhash.xxh3_128_intdigest(x.tobytes()), 1 << 64) for x in found], "u8").reshape(-1, 2).view("i8")
+            fp = np.array([majority(x) for x in found], "u8").view("i8")
+            rare = [rarejoin.rarest(x, counts.value).view("i8") for x in found]
+            columns = [pa.array([len(x) for x in found], pa.int64()), *(pa.array(c) for c in digest.T.copy()), pa.array(fp), pa.array(rare, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["key", "n", "high", "low", "fp", "rare"])
+
+    source = rows.select(carry.alias("key"), "text")
+    return source.mapInArrow(scan, f"key {source.schema['key'].dataType.simpleString()}, n long, high long, low long, fp long, rare array<long>")
+
+
+def near_sets(texts: DataFrame) -> DataFrame:
+    """(g, shingles) of (g, text)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k, text in enumerate(batch.column(4)):
-                kept = pa.array([shingles(text.as_py()).view("i8")], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(k, 1) for c in range(4)), kept], ["n", "fp", "root", "members", "shingles"])
-
-    def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        names, fp, sets = frame["n"].to_numpy(), frame["fp"].to_numpy().view("u8"), frame["shingles"].tolist()
-        block, label, found = frame["block"].to_numpy(), np.arange(len(frame)), []
-        across = frame["low"].iloc[0] != frame["high"].iloc[0]
-        for i in range(len(frame)):
-            near = np.bitwise_count(fp[i + 1 :] ^ fp[i]) <= NEAR_BUDGET
-            if across:
-                near &= block[i + 1 :] != block[i]
-            for j in (np.flatnonzero(near) + i + 1).tolist():
-                if label[i] != label[j] and similar(sets[i], sets[j]):
-                    found.append((names[i], names[j]))
-                    label[label == label[j]] = label[i]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+            for k, text in enumerate(batch.column(1)):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(k, 1), pa.array([shingles(text.as_py()).view("i8")], pa.list_(pa.int64()))], ["g", "shingles"])
 
-    source = near.select("n", "fp", "root", "members", "text")
-    hashed = source.mapInArrow(scan, "n long, fp long, root long, members long, shingles array<long>")
-    blocks = F.ceil(F.col("members") / NEAR_BLOCK)
-    dealt = hashed.withColumn("block", F.pmod(F.xxhash64("n"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    pairs = dealt.select("n", "fp", "root", "shingles", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    return pairs.groupBy("root", "low", "high").applyInPandas(compare, "a long, b long")
+    return texts.select("g", "text").mapInArrow(scan, "g long, shingles array<long>")
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """The documents with one row of each component of near copies: that with the smallest doc_id, then place (null ids last)."""
     rows = located(docs, [F.struct("*").alias("row"), F.col("doc_id"), text_of().alias("text")])
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("place").alias("place"))
-    prints = settle(fingerprints(rows, order))
-    distinct = prints.groupBy("fp").agg(F.count("*").alias("rows"))
-    proposed = components(links(distinct.select("fp"), NEAR_NODE_ROWS, NEAR_BUDGET, NEAR_LEAF))
-    rooted = distinct.join(proposed.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    groups = rooted.groupBy("root").agg(F.sum("rows").alias("members")).where("members > 1")
-    near = settle(prints.join(rooted.join(groups, "root").select("fp", "root", "members"), "fp").withColumn("n", F.monotonically_increasing_id()))
-    texts = rows.select("place", "text").join(near.select(F.col("key.place").alias("place"), "n", "fp", "root", "members"), "place")
-    alike = components(_verified(texts))
-    # every member of a component but the first goes
-    member = near.select("key", "n").join(alike.select(F.col("node").alias("n"), "root"), "n", "left").select("key", F.coalesce("root", "n").alias("root"))
-    first = member.groupBy("root").agg(F.min("key").alias("first"))
-    gone = settle(member.join(first, "root").where(F.col("key") != F.col("first")).select("key.place"))
+    prints = settle(near_prints(rows, order))
+    same = prints.groupBy("high", "low").agg(F.min("key").alias("least"), F.count("*").alias("rows"), *[F.first(c).alias(c) for c in ("n", "fp", "rare")])
+    nodes = settle(same.withColumn("g", F.monotonically_increasing_id()))
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        places = nodes.select("g", F.col("least.place").alias("place")).join(wanted, "g", "left_semi")
+        return near_sets(rows.select("place", "text").join(places, "place"))
+
+    roots = rarejoin.linked(nodes, sets_of)
+    member = settle(nodes.join(roots.select(F.col("node").alias("g"), "root"), "g", "left").select("high", "low", "least", "rows", F.coalesce("root", "g").alias("root")))
+    # both sides of the joins with hot groups are tables, so that adaptive execution can split those
+    first = settle(member.groupBy("root").agg(F.min("least").alias("first"), F.sum("rows").alias("members")).where("members > 1").drop("members"))
+    grouped = settle(member.join(first, "root").select("high", "low", "first"))
+    gone = settle(prints.select("key", "high", "low").join(grouped, ["high", "low"]).where(F.col("key") != F.col("first")).select("key.place"))
     return rows.join(gone, "place", "left_anti").select("row.*")
