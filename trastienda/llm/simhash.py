@@ -217,13 +217,17 @@ def shingles(text: str, size: int = NEAR_SHINGLE) -> np.ndarray:
     return found if len(found) else np.zeros(1, "u8")
 
 
-def majority(hashes: np.ndarray) -> int:
-    """The fingerprint of a set of hashes."""
-    ones = np.zeros(BITS, "int64")
-    for begin in range(0, len(hashes), BLOCK):
-        part = hashes[begin : begin + BLOCK].astype("<u8")
-        ones += np.unpackbits(part.view("u1").reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype="int64")
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+def majority(hashes: np.ndarray, words: int = rarejoin.FP_WORDS) -> np.ndarray:
+    """The fingerprint of a set of hashes: words of 64 bits, each by another mix of the hashes."""
+    found = np.zeros(words, "u8")
+    for k, (turn, times) in enumerate(zip(*forest.seeds(words), strict=True)):
+        ones = np.zeros(BITS, "int64")
+        for begin in range(0, len(hashes), BLOCK):
+            part = (hashes[begin : begin + BLOCK] ^ turn) * times
+            part = (part ^ part >> np.uint64(32)) * times
+            ones += np.unpackbits((part ^ part >> np.uint64(29)).astype("<u8").view("u1").reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype="int64")
+        found[k] = np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0]
+    return found
 
 
 def near_prints(rows: DataFrame, carry: Column) -> DataFrame:
@@ -234,13 +238,13 @@ def near_prints(rows: DataFrame, carry: Column) -> DataFrame:
         for batch in batches:
             found = [shingles(text.as_py()) for text in batch.column(1)]
             digest = np.array([divmod(xxhash.xxh3_128_intdigest(x.tobytes()), 1 << 64) for x in found], "u8").reshape(-1, 2).view("i8")
-            fp = np.array([majority(x) for x in found], "u8").view("i8")
+            fp = [majority(x).view("i8") for x in found]
             rare = [rarejoin.rarest(x, counts.value).view("i8") for x in found]
-            columns = [pa.array([len(x) for x in found], pa.int64()), *(pa.array(c) for c in digest.T.copy()), pa.array(fp), pa.array(rare, pa.list_(pa.int64()))]
+            columns = [pa.array([len(x) for x in found], pa.int64()), *(pa.array(c) for c in digest.T.copy()), *(pa.array(x, pa.list_(pa.int64())) for x in (fp, rare))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["key", "n", "high", "low", "fp", "rare"])
 
     source = rows.select(carry.alias("key"), "text")
-    return source.mapInArrow(scan, f"key {source.schema['key'].dataType.simpleString()}, n long, high long, low long, fp long, rare array<long>")
+    return source.mapInArrow(scan, f"key {source.schema['key'].dataType.simpleString()}, n long, high long, low long, fp array<long>, rare array<long>")
 
 
 def near_sets(texts: DataFrame) -> DataFrame:
@@ -258,15 +262,18 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     """The documents with one row of each component of near copies: that with the smallest doc_id, then place (null ids last)."""
     rows = located(docs, [F.struct("*").alias("row"), F.col("doc_id"), text_of().alias("text")])
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("place").alias("place"))
-    prints = settle(near_prints(rows, order))
-    same = prints.groupBy("high", "low").agg(F.min("key").alias("least"), F.count("*").alias("rows"), *[F.first(c).alias(c) for c in ("n", "fp", "rare")])
-    nodes = settle(same.withColumn("g", F.monotonically_increasing_id()))
+    prints = settle(near_prints(rows, order).withColumn("g", F.monotonically_increasing_id()))
+    same = prints.groupBy("high", "low").agg(F.min("key").alias("least"), F.count("*").alias("rows"), F.min(F.struct("g", "n", "fp", "key.place")).alias("one"))
+    nodes = settle(same.select("high", "low", "least", "rows", "one.*"))
+    # one row of each set is posted; the others are told apart by a narrow join
+    again = prints.select("g", "high", "low").join(nodes.where("rows > 1").select("high", "low", F.col("g").alias("one")), ["high", "low"]).where("g <> one").select("g")
+    posted = prints.select("g", "n", "rare").join(settle(again), "g", "left_anti")
 
     def sets_of(wanted: DataFrame) -> DataFrame:
-        places = nodes.select("g", F.col("least.place").alias("place")).join(wanted, "g", "left_semi")
+        places = nodes.select("g", "place").join(wanted, "g", "left_semi")
         return near_sets(rows.select("place", "text").join(places, "place"))
 
-    roots = rarejoin.linked(nodes, sets_of)
+    roots = rarejoin.linked(nodes, posted, sets_of)
     member = settle(nodes.join(roots.select(F.col("node").alias("g"), "root"), "g", "left").select("high", "low", "least", "rows", F.coalesce("root", "g").alias("root")))
     # both sides of the joins with hot groups are tables, so that adaptive execution can split those
     first = settle(member.groupBy("root").agg(F.min("least").alias("first"), F.sum("rows").alias("members")).where("members > 1").drop("members"))
