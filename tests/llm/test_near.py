@@ -2,6 +2,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,6 +136,26 @@ def test_similar_sets_are_posted_together(counts):
             assert len(np.intersect1d(rarejoin.rarest(left, counts), rarejoin.rarest(right, counts)))
 
 
+def test_survivors_are_the_rows_with_candidates():
+    rng = np.random.default_rng(5)
+    rows = []
+    for region in range(60):
+        high = int(rng.integers(0, 2))
+        base = rng.integers(0, 1 << 62, rarejoin.FP_WORDS)
+        part = [[0, region, 0, high, int(rng.integers(0, 4)), g, int(rng.integers(5, 9)), int(rng.integers(0, high + 1))] for g in range(int(rng.integers(1, 9)))]
+        for row in sorted(part, key=lambda r: (r[4], r[5])):
+            fp = np.where(rng.random(rarejoin.FP_WORDS) < 0.5, base, base ^ rng.integers(0, 1 << 62, rarejoin.FP_WORDS))
+            rows.append((row, np.concatenate([fp, np.unique(rng.integers(0, 30, rng.integers(0, rarejoin.TOLD)))]).astype("i8")))
+    names = setjoin.ROW
+    table = pa.table({**{c: pa.array([r[0][k] for r in rows], pa.int64()) for k, c in enumerate(names)}, "labels": pa.array([r[1] for r in rows], pa.list_(pa.int64()))})
+    expected = []
+    for part in setjoin.by_region(iter(table.to_batches(max_chunksize=17))):
+        marks = [np.array(x) for x in part.column("labels").to_pylist()]
+        expected += rarejoin.Shared(np.stack([part.column(c).to_numpy() for c in names]), marks, 80, rarejoin.BUDGET).surviving().tolist()
+    got = [x for whole in rarejoin.whole_regions(iter(table.to_batches(max_chunksize=17))) for x in rarejoin.surviving(whole, 80, rarejoin.BUDGET).tolist()]
+    assert got == expected and 10 < sum(got) < len(got) - 10
+
+
 @pytest.mark.parametrize("parts", [1, 7])
 def test_meetings_keep_all_that_share_a_shingle(spark, parts):
     rng = random.Random(parts)
