@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from trastienda.llm import rarejoin, setjoin, simhash
+from trastienda.llm import rarejoin, setjoin, simhash, trie
 from trastienda.llm.components import components
 
 
@@ -206,3 +206,45 @@ def test_numpy_traversal():
     a, b = (np.sort(rng.integers(0, 1 << 14, 400).astype("u8")) for _ in range(2))
     found = {(int(i), int(j)) for x, y in simhash.linked(a, b, 0, 14) for i, j in zip(x, y, strict=True)}
     assert found == {(i, j) for i in range(400) for j in range(400) if (int(a[i]) ^ int(b[j])).bit_count() <= 2}
+
+
+@pytest.mark.parametrize("leaf", [1, 8, 4096])
+def test_many_tries_of_long_fingerprints_at_once(leaf):
+    """Tries that meet themselves or another one give the pairs within the budget, each once."""
+    rng = np.random.default_rng(leaf)
+    group = np.sort(rng.integers(0, 12, 300))
+    base = rng.integers(0, 1 << 63, (12, 4)).astype("u8")
+    noise = np.bitwise_and.reduce(rng.integers(0, 1 << 63, (3, 300, 4)), axis=0).astype("u8")
+    fp = base[group] ^ np.where(rng.random((300, 1)) < 0.1, np.uint64(0), noise)
+    fp = fp[trie.order(fp, group)]
+    begin, end = (np.searchsorted(group, np.arange(12), side) for side in ("left", "right"))
+    even = lambda i, j: (i + j) % 2 == 0
+    near = lambda i, j: np.bitwise_count(fp[i] ^ fp[j]).sum() <= 48 and even(i, j)
+    got = [(int(a), int(b)) for i, j in trie.linked(fp, (begin, end), (begin, end), 48, even, leaf, 50) for a, b in zip(i, j, strict=True)]
+    want = {(i, j) for i in range(300) for j in range(i + 1, 300) if group[i] == group[j] and near(i, j)}
+    assert len(got) == len(set(got)) and {tuple(sorted(x)) for x in got} == want and len(want) > 100
+    apart = [(int(a), int(b)) for i, j in trie.linked(fp, (begin[:-1], end[:-1]), (begin[1:], end[1:]), 128, even, leaf, 50) for a, b in zip(i, j, strict=True)]
+    assert sorted(apart) == [(i, j) for i in range(300) for j in range(300) if group[i] + 1 == group[j] and np.bitwise_count(fp[i] ^ fp[j]).sum() <= 128 and even(i, j)]
+
+
+@pytest.mark.parametrize("leaf", [1, 4096])
+def test_pairs_of_blocks_are_joined_along_the_trie(leaf):
+    """The rows that the traversal leaves are those with a candidate, whether a block meets itself or another, or an empty one."""
+    rng = np.random.default_rng(leaf)
+    names, rows = setjoin.ROW, []
+    for region in range(30):
+        low = int(rng.integers(0, 2))
+        high = low + int(rng.integers(0, 2))
+        base = rng.integers(0, 1 << 62, rarejoin.FP_WORDS)
+        part = [[0, region, low, high, int(rng.integers(0, 5)), g, 10, int(rng.integers(low, high + 1))] for g in range(int(rng.integers(1, 30)))]
+        for row in sorted(part, key=lambda r: (r[4], r[5])):
+            rows.append((row, np.where(rng.random(rarejoin.FP_WORDS) < 0.5, base, rng.integers(0, 1 << 62, rarejoin.FP_WORDS)).astype("i8")))
+    table = pa.table({**{c: pa.array([r[0][k] for r in rows], pa.int64()) for k, c in enumerate(names)}, "labels": pa.array([r[1] for r in rows], pa.list_(pa.int64()))})
+    expected = [
+        any(
+            a[:4] == b[:4] and a[4] != b[4] and (a[2] == a[3] or a[7] != b[7]) and np.bitwise_count(x.view("u8") ^ y.view("u8")).sum() <= rarejoin.BUDGET
+            for b, y in rows
+        )
+        for a, x in rows
+    ]
+    assert rarejoin.surviving(table, 80, rarejoin.BUDGET, leaf).tolist() == expected and 10 < sum(expected) < len(rows) - 10

@@ -1,16 +1,22 @@
-"""Links between similar sets of shingles, found under the rare shingles that such sets must share.
+"""Links between similar sets of shingles: SimHash fingerprints are joined along binary tries, one for each rare shingle.
+
+At a similarity of 0.8 fingerprints are so far apart that one trie over all of them drops hardly any pair of nodes before its leaves,
+and its work grows with the square. So the tries begin with a shingle, one that similar sets must share, as those of `simhash.links`
+begin with a part of the bits that must be equal.
 
 Shingles have one order for the whole corpus: by the number of shingles in their hash slot, rare ones first.
 Two sets with a similarity of 0.8 share at least one of the first n - ceil(0.8 n) + 1 shingles in that order, n being a
 set's size. So each set is posted under those only, and nothing similar is lost, whatever the counts are; they
 just keep frequent shingles out of the postings. Links come in two rounds, each confirmed on the full sets:
 
-1. sets next to each other under a shingle, for each set the one it meets most often, which joins a group of
+1. neighbouring leaves of the trie under a shingle, for each set the one it meets most often, which joins a group of
    near copies by few comparisons;
-2. under each shingle that still holds several components, pairs of different ones whose sizes fit and whose SimHash
-   fingerprints are within the budget. A pair that shares many shingles is compared under the first one.
+2. in each trie that still holds several components, node pairs are traversed together (see `trie`): the bits that differ add up, and
+   pairs beyond the budget are dropped. Of the pairs that are left, those of different components whose sizes fit are
+   candidates. A pair that shares many shingles is compared under the first one.
 
-Postings are sorted by ranges, so a shingle of any frequency is split evenly, and compared block by block in round two.
+Postings are sorted by ranges, so a shingle of any frequency is split evenly. In round two a large trie is dealt into blocks, each
+a trie of its own, and the blocks meet in pairs.
 """
 
 from __future__ import annotations
@@ -23,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trastienda.llm import setjoin
+from trastienda.llm import setjoin, trie
 from trastienda.llm.components import components
 from trastienda.sources.settle import settle
 
@@ -33,6 +39,8 @@ PERCENT = 80
 #: Fingerprints have so many words of 64 bits, and those of similar sets may differ by so many bits. Two sets of
 #: similarity 0.8 differ in 39 of 256 on average with a deviation of 6, very small ones in up to 49; sets of 0.3 in 89, with 8.
 FP_WORDS, BUDGET = 4, 76
+#: Bits by which neighbours in a trie are found.
+PATH_BITS = 32
 #: Shingles of a set by which pairs that meet more than once are told.
 TOLD = 16
 
@@ -64,8 +72,8 @@ def rarest(hashes: np.ndarray, counts: np.ndarray, percent: int = PERCENT) -> np
     return hashes[np.lexsort((hashes, counts[slots(hashes)]))[:kept]]
 
 
-def meetings(nodes: DataFrame) -> DataFrame:
-    """(shingle, n, g, before, before_n): the postings of (g, n, rare) that may share their shingle with others, and the set before in it (-1: none)."""
+def meetings(nodes: DataFrame, by: str = "n") -> DataFrame:
+    """(shingle, n, g, before, before_n): the postings of (g, n, rare) that may share their shingle with others, and the set before in it (-1: none) in the order of `by`."""
     names = ["shingle", "n", "g"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,8 +104,8 @@ def meetings(nodes: DataFrame) -> DataFrame:
         if held.shape[1]:
             yield _postings(held[:3], held[3], held[4])
 
-    posted = nodes.select(F.explode("rare").alias("shingle"), F.col("n").cast("long").alias("n"), "g")
-    ordered = posted.repartitionByRange("shingle", "n", "g").sortWithinPartitions("shingle", "n", "g")
+    posted = nodes.select(F.explode("rare").alias("shingle"), F.col(by).cast("long").alias("by"), F.col("n").cast("long").alias("n"), "g")
+    ordered = posted.repartitionByRange("shingle", "by", "g").sortWithinPartitions("shingle", "by", "g").select(*names)
     return ordered.mapInArrow(scan, "shingle long, n long, g long, before long, before_n long")
 
 
@@ -169,8 +177,8 @@ def whole_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield held.combine_chunks()
 
 
-def surviving(table: pa.Table, percent: int, budget: int) -> np.ndarray:
-    """Which rows are a candidate of another row of their pair of blocks; all rows are compared with the one k places on, for each k."""
+def surviving(table: pa.Table, percent: int, budget: int, leaf: int = trie.LEAF) -> np.ndarray:
+    """Which rows are a candidate of another row of their pair of blocks: the tries of the blocks are traversed together, those of all pairs of blocks at once."""
     rows = np.stack([table.column(c).to_numpy() for c in setjoin.ROW])
     lists = table.column("labels").combine_chunks()
     flat, length = lists.flatten().to_numpy(), pc.list_value_length(lists).to_numpy()
@@ -179,23 +187,31 @@ def surviving(table: pa.Table, percent: int, budget: int) -> np.ndarray:
     at = np.arange(FP_WORDS, FP_WORDS + TOLD)
     told = at < length[:, None]
     earlier = flat[np.minimum(begin[:, None] + at, len(flat) - 1)]
-    first = np.flatnonzero(np.concatenate([[True], (rows[:4, 1:] != rows[:4, :-1]).any(axis=0)]))
-    end = np.repeat(np.append(first[1:], rows.shape[1]), np.diff(np.append(first, rows.shape[1])))
-    low, high, root, n, block = rows[2], rows[3], rows[4], rows[6], rows[7]
-    found, i, k = np.zeros(rows.shape[1], "?"), np.arange(rows.shape[1]), 1
-    while len(i := i[i + k < end[i]]):
-        j = i + k
-        good = (root[i] != root[j]) & ((low[i] == high[i]) | (block[i] != block[j]))
-        good &= 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
-        a, b = i[good], j[good]
-        near = np.bitwise_count(fp[a] ^ fp[b]).sum(axis=1, dtype="i8") <= budget
-        a, b = a[near], b[near]
-        met = ((earlier[a][:, :, None] == earlier[b][:, None, :]) & told[a][:, :, None] & told[b][:, None, :]).any(axis=(1, 2))
-        found[a[~met]] = found[b[~met]] = True
-        k += 1
+    new = np.concatenate([[True], (rows[:4, 1:] != rows[:4, :-1]).any(axis=0)])
+    order = trie.order(fp, np.cumsum(new), rows[7])
+    low, high, root, n, block = (rows[k, order] for k in (2, 3, 4, 6, 7))
+    fp, told, earlier = fp[order], told[order], earlier[order]
+
+    def wanted(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        return (root[i] != root[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+
+    found = np.zeros(rows.shape[1], "?")
+    for i, j in trie.linked(fp, *_tries(new, low == high, block), budget, wanted, leaf):
+        met = ((earlier[i][:, :, None] == earlier[j][:, None, :]) & told[i][:, :, None] & told[j][:, None, :]).any(axis=(1, 2))
+        found[order[i[~met]]] = found[order[j[~met]]] = True
     return found
 
 
+def _tries(new: np.ndarray, one_block: np.ndarray, block: np.ndarray) -> tuple[trie.Pairs, trie.Pairs]:
+    """The (begin, end) of the left and of the right trie of each pair of blocks: one block meets itself, two meet each other."""
+    first = np.flatnonzero(new)
+    end = np.append(first[1:], len(new))
+    start = np.flatnonzero(new | np.concatenate([[True], block[1:] != block[:-1]]))
+    second = start[np.minimum(np.searchsorted(start, first, "right"), len(start) - 1)]
+    middle = np.where(one_block[first], end, np.where(second > first, np.minimum(second, end), end))
+    return (first, middle), (np.where(one_block[first], first, middle), end)
+
+
 def across(rows: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, budget: int) -> DataFrame:
     """(a, b): links between different components under one shingle, confirmed on the full sets."""
 
@@ -226,6 +242,11 @@ def across(rows: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent:
     return ordered(near.join(sets, "g").select(*setjoin.ROW, "labels", "shingles")).mapInArrow(links, "a long, b long")
 
 
+def path(fp: Column) -> Column:
+    """The first PATH_BITS bits of a fingerprint, by which its leaf is sorted into a trie."""
+    return F.shiftrightunsigned(fp[0], trie.WORD_BITS - PATH_BITS)
+
+
 def _within(fp: Column, other: Column, budget: int) -> Column:
     return sum(F.bit_count(fp[k].bitwiseXOR(other[k])) for k in range(FP_WORDS)) <= budget
 
@@ -233,9 +254,9 @@ def _within(fp: Column, other: Column, budget: int) -> Column:
 def linked(nodes: DataFrame, posted: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int = PERCENT, budget: int = BUDGET) -> DataFrame:
     """(node, root): components of the links between sets (g, n, fp), without sets that have none.
 
-    `posted` gives their shingles (g, n, rare); `sets_of` gives (g, shingles) for a frame of the sets (g) that have candidates.
+    `posted` gives their shingles and places in the trie (g, n, path, rare); `sets_of` gives (g, shingles) for a frame of the sets (g) that have candidates.
     """
-    met = settle(meetings(posted))
+    met = settle(meetings(posted, "path"))
     pairs = met.where("before >= 0").select(F.col("before").alias("a"), F.col("g").alias("b"), F.lit(1).alias("depth"), F.col("before_n").alias("na"), F.col("n").alias("nb"))
     best = setjoin.best_of_each(pairs.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent))
     prints = nodes.select("g", "fp")

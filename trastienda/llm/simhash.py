@@ -12,8 +12,9 @@ traversed to the end in the task. A task gives a spanning forest of its links, n
 all pairs of a group. Components come from repeated rounds of smallest neighbours.
 
 `drop_near_copies` has a contract of its own: word shingles of five, similarity of at least
-0.8. Such sets are some ten bits apart, where a trie drops hardly anything early and random fingerprints meet as well. So
-documents meet under rare shingles first (see `rarejoin`), and the budget prunes pairs there.
+0.8. Such sets are some ten bits apart, where one trie drops hardly anything early and random fingerprints meet as well. So
+its fingerprints have 256 bits, and there is a trie for each rare shingle that similar sets must share, in which node pairs are
+traversed together as above (see `rarejoin` and `trie`).
 
 Defined cases: null text and text without words have fingerprint zero and are linked like
 any other; repeated rows are in one component; a null doc_id is no component's smallest unless
@@ -267,7 +268,7 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     nodes = settle(same.select("high", "low", "least", "rows", "one.*"))
     # one row of each set is posted; the others are told apart by a narrow join
     again = prints.select("g", "high", "low").join(nodes.where("rows > 1").select("high", "low", F.col("g").alias("one")), ["high", "low"]).where("g <> one").select("g")
-    posted = prints.select("g", "n", "rare").join(settle(again), "g", "left_anti")
+    posted = prints.select("g", "n", rarejoin.path(F.col("fp")).alias("path"), "rare").join(settle(again), "g", "left_anti")
 
     def sets_of(wanted: DataFrame) -> DataFrame:
         places = nodes.select("g", "place").join(wanted, "g", "left_semi")
