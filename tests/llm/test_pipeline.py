@@ -1,9 +1,13 @@
+import os
 from collections import Counter
 
 import brute
+import pytest
 
 import corpus_pipeline
 from trastienda.llm import language, mixing, packing
+from trastienda.session import shared_folder
+from trastienda.sources.settle import settle, settle_only
 
 
 def stages(spark, sf, docs, folder):
@@ -53,3 +57,28 @@ def test_odd_and_no_rows(spark, sf, odd, nothing, tmp_path):
 
 def test_run(spark, sf):
     assert corpus_pipeline.run(spark, sf).count() > 0
+
+
+@pytest.mark.parametrize("name", ["exact_dedup", "near_dedup"])
+def test_a_stage_leaves_only_what_its_result_reads(spark, sf, name):
+    """Copies of the texts and tables that were met on the way don't stay beside the later stages."""
+    shared, docs = shared_folder(spark), spark.read.parquet(f"{sf}/documents.parquet")
+    before = set(os.listdir(shared))
+    kept = dict(corpus_pipeline.STAGES)[name](spark, docs, sf)
+    left = [x for x in set(os.listdir(shared)) - before if not x.startswith("dedup-")]
+    assert len(left) == 1 and spark.read.parquet(f"{shared}/{left[0]}").columns == ["place"]
+    assert 0 < kept.count() <= docs.count() and kept.columns == docs.columns
+
+
+def test_what_fails_on_the_way_leaves_nothing(spark):
+    shared = shared_folder(spark)
+    before = set(os.listdir(shared))
+
+    def build():
+        return settle(spark.range(3)).selectExpr("raise_error('no')")
+
+    with pytest.raises(Exception, match="no"):
+        settle_only(build)
+    # only the folder of the result that failed may be there
+    assert all(not any(f.endswith(".parquet") for f in os.listdir(f"{shared}/{x}")) for x in set(os.listdir(shared)) - before)
+    assert settle_only(lambda: settle(spark.range(3)).where("id > 0")).count() == 2

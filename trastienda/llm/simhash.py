@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from trastienda.llm import forest, rarejoin
 from trastienda.llm.common import WORD, located, text_of
 from trastienda.llm.components import components
-from trastienda.sources.settle import settle
+from trastienda.sources.settle import settle, settle_only
 
 SHINGLE = 3
 SEED = 42
@@ -262,6 +262,11 @@ def near_sets(texts: DataFrame) -> DataFrame:
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """The documents with one row of each component of near copies: that with the smallest doc_id, then place (null ids last)."""
     rows = located(docs, [F.struct("*").alias("row"), F.col("doc_id"), text_of().alias("text")])
+    return rows.join(settle_only(lambda: near_copies(rows)), "place", "left_anti").select("row.*")
+
+
+def near_copies(rows: DataFrame) -> DataFrame:
+    """(place): the rows (doc_id, text, place) that have a near copy before them."""
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("place").alias("place"))
     prints = settle(near_prints(rows, order).withColumn("g", F.monotonically_increasing_id()))
     same = prints.groupBy("high", "low").agg(F.min("key").alias("least"), F.count("*").alias("rows"), F.min(F.struct("g", "n", "fp", "key.place")).alias("one"))
@@ -279,5 +284,4 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     # both sides of the joins with hot groups are tables, so that adaptive execution can split those
     first = settle(member.groupBy("root").agg(F.min("least").alias("first"), F.sum("rows").alias("members")).where("members > 1").drop("members"))
     grouped = settle(member.join(first, "root").select("high", "low", "first"))
-    gone = settle(prints.select("key", "high", "low").join(grouped, ["high", "low"]).where(F.col("key") != F.col("first")).select("key.place"))
-    return rows.join(gone, "place", "left_anti").select("row.*")
+    return prints.select("key", "high", "low").join(grouped, ["high", "low"]).where(F.col("key") != F.col("first")).select("key.place")
