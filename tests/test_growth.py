@@ -84,20 +84,39 @@ def test_deliveries_are_packed(spark):
         assert all(name.endswith(".gz") for name in frame.inputFiles())
 
 
-def test_shuffles_of_stored_tables_are_deleted(spark):
-    def shuffles():
-        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
-        return {name for name in (files.apply(n).getName() for n in range(files.size())) if "shuffle_" in name}
+def shuffles(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (files.apply(n).getName() for n in range(files.size())) if "shuffle_" in name}
 
-    before = shuffles()
-    made = settle_all({name: lambda k=k: spark.range(1000).groupBy((F.col("id") % k).alias("k")).count() for name, k in (("a", 7), ("b", 11))})
+
+def left_of(spark, before):
+    """The shuffle files that are new and stay."""
     until = time.time() + 5
-    while shuffles() - before and time.time() < until:
+    while shuffles(spark) - before and time.time() < until:
         time.sleep(0.2)
-    assert not shuffles() - before
+    return shuffles(spark) - before
+
+
+def test_shuffles_of_stored_tables_are_deleted(spark):
+    before = shuffles(spark)
+    made = settle_all({name: lambda k=k: spark.range(1000).groupBy((F.col("id") % k).alias("k")).count() for name, k in (("a", 7), ("b", 11))})
+    assert not left_of(spark, before)
     assert {name: frame.count() for name, frame in made.items()} == {"a": 7, "b": 11}
 
 
+def test_marts_leave_no_shuffles(spark):
+    before = shuffles(spark)
+    built = Star(spark, SF).built
+    assert not left_of(spark, before)
+    assert built["mart.q4_margin_by_product_store"].count() > 0
+
+
+def test_what_evidence_reads_is_packed(spark):
+    built = Star(spark, SF).built
+    for name in ("core.fct_sales", "core.dim_product", "mart.q1_rotation_by_sku", "mart.q4_margin_by_product_store", "mart.q4_margin_variants"):
+        assert all(file.endswith(".zstd.parquet") for file in built[name].inputFiles()), name
+
+
 def test_cells_of_a_key_are_shuffled_as_bits(spark, no_broadcast):
     """Facts and what is handed to their cells are shuffled by cell, and nothing else: the cells are told by a row per key and block."""
     facts = spark.range(2000).select((F.col("id") % 5).alias("k"), F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
